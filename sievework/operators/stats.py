@@ -12,6 +12,9 @@ from ..functions.text import hash_normalize, preview, tokens
 from .ordering import hash_key
 
 ALL = "_all"
+COUNTS = ["total_tokens", "vocab", "jaccard_pairs"]
+RATIOS = ["ttr", "distinct_1", "distinct_2", "distinct_3",
+          "jaccard_mean", "jaccard_p95", "jaccard_max", "jaccard_share_gt_08"]
 
 
 def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -26,7 +29,16 @@ def _side_by_side(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
         same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
         return left.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])
 
-    return reduce(pair, parts).drop(ALL)
+    return reduce(pair, parts)
+
+
+def _complete(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """``found`` for every group of ``df``, zeros for a group it lacks."""
+    return _zeros(_side_by_side([df.select(*keys).distinct(), found], keys)).drop(ALL)
+
+
+def _zeros(df: DataFrame) -> DataFrame:
+    return df.na.fill(0, [c for c in COUNTS if c in df.columns]).na.fill(0.0, [c for c in RATIOS if c in df.columns])
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -103,6 +115,10 @@ def ngram_stats(df: DataFrame, text: str, by: Sequence[str] = (), kind: str = "b
     are combined before it and no group is ever collected.
     """
     df, keys = _grouped(df, by)
+    return _complete(df, _ngrams(df, text, keys, kind), keys)
+
+
+def _ngrams(df: DataFrame, text: str, keys: list[str], kind: str) -> DataFrame:
     first = df.select(*keys, tokens(text, kind).alias("t1"))
     shifted = first.select(
         *keys, "t1",
@@ -125,14 +141,12 @@ def ngram_stats(df: DataFrame, text: str, by: Sequence[str] = (), kind: str = "b
     def total(n: int) -> Column:
         return F.coalesce(F.sum(F.when(F.col("n") == n, F.col("c"))), F.lit(0))
 
-    found = counted.groupBy(*keys).agg(
+    return counted.groupBy(*keys).agg(
         total(1).alias("total_tokens"),
         distinct(1).alias("vocab"),
         _ratio(distinct(1), total(1)).alias("ttr"),
         *[_ratio(distinct(n), total(n)).alias(f"distinct_{n}") for n in (1, 2, 3)],
     )
-    filled = _side_by_side([df.select(*keys).distinct(), found], keys) if by else found.drop(ALL)
-    return filled.na.fill(0, ["total_tokens", "vocab"]).na.fill(0.0, ["ttr", "distinct_1", "distinct_2", "distinct_3"])
 
 
 # ---- sampled Jaccard --------------------------------------------------------
@@ -153,6 +167,12 @@ def jaccard_sample(
     order. ``share_gt_08`` is the true share of pairs above 0.8.
     """
     df, keys = _grouped(df, by)
+    return _complete(df, _jaccards(df, text, id, keys, kind, sample, stride, seed), keys)
+
+
+def _jaccards(
+    df: DataFrame, text: str, id: str, keys: list[str], kind: str, sample: int, stride: int = 10, seed: int = 0,
+) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(hash_key(seed, id), id))
     picked = (
         df.select(*keys, id, text).withColumn("_rank", rank).filter(F.col("_rank") <= sample)
@@ -171,16 +191,13 @@ def jaccard_sample(
         picked.filter("_place > 0").join(anchors, same & (F.col("_window") == F.col("_a_window")))
         .select(*keys, jaccard(F.col("_a_set"), F.col("_set")).alias("j"))
     )
-    stats = scored.groupBy(*keys).agg(
+    return scored.groupBy(*keys).agg(
         F.avg("j").alias("jaccard_mean"),
         F.percentile("j", F.lit(0.95)).alias("jaccard_p95"),
         F.max("j").alias("jaccard_max"),
         F.avg((F.col("j") > 0.8).cast("double")).alias("jaccard_share_gt_08"),
         F.count("*").alias("jaccard_pairs"),
     )
-    joined = _side_by_side([df.select(*keys).distinct(), stats], keys)
-    return joined.na.fill(0.0, ["jaccard_mean", "jaccard_p95", "jaccard_max", "jaccard_share_gt_08"]).na.fill(
-        0, ["jaccard_pairs"])
 
 
 # ---- whole views ------------------------------------------------------------
@@ -192,12 +209,13 @@ def view_stats(
     df, keys = _grouped(df, by)
     features = _text_features(df, text, keys, kind)
     lengths = features.groupBy(*keys).agg(*_summary("chars", "rows"), *_summary("words", "rows"))
-    return _side_by_side([
+    parts = [
         _duplicates(features, keys),
         lengths,
-        ngram_stats(df, text, keys, kind),
-        jaccard_sample(df, text, id, keys, kind, sample),
-    ], keys)
+        _ngrams(df, text, keys, kind),
+        _jaccards(df, text, id, keys, kind, sample),
+    ]
+    return _zeros(_side_by_side(parts, keys)).drop(ALL)
 
 
 def diversity_score(

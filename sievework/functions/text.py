@@ -137,11 +137,12 @@ def hash_normalize(s: Column | str, form: str = "bn") -> Column:
     ``nfkc`` applies NFKC first.
     """
     s = nfkc(s) if form == "nfkc" else col(s)
-    low = F.lower(s)
-    if form != "word":
-        low = normalize_digits(low)
-    keep = r"\p{L}\p{N}_" + SPACE[1:-1] + ("" if form == "word" else BENGALI)
-    return strip(F.regexp_replace(remove(low, f"[^{keep}]+"), F.lit(f"{SPACE}+"), F.lit(" ")))
+    digits = ("", "") if form == "word" else (BENGALI_DIGITS, ASCII_DIGITS)
+    # One pass turns every kind of white space into the blank, so that the two
+    # patterns after it stay small.
+    plain = F.translate(F.lower(s), SPACES + digits[0], " " * len(SPACES) + digits[1])
+    kept = remove(plain, rf"[^ \p{{L}}\p{{N}}_{'' if form == 'word' else BENGALI}]+")
+    return F.btrim(F.regexp_replace(kept, F.lit(" {2,}"), F.lit(" ")))
 
 
 def content_hash(s: Column | str) -> Column:
@@ -175,13 +176,13 @@ def strip_layout(s: Column | str) -> Column:
 
 
 def has_garbage(s: Column | str) -> Column:
-    return strip_layout(s).rlike(GARBLE)
+    return col(s).rlike(GARBLE) & strip_layout(s).rlike(GARBLE)
 
 
 def has_mixed_script(s: Column | str) -> Column:
     """A Bengali character next to a Devanagari one, dandas aside."""
     pattern = rf"[{BENGALI}]{DEVANAGARI}|{DEVANAGARI}[{BENGALI}]"
-    return remove(strip_layout(s), DANDA).rlike(pattern)
+    return col(s).rlike(DEVANAGARI) & remove(strip_layout(s), DANDA).rlike(pattern)
 
 
 def has_control(s: Column | str) -> Column:

@@ -60,7 +60,10 @@ def run_cells(
         if parts:
             yield from work(pa.Table.from_batches(parts))
 
-    return cells.repartition("_cell").sortWithinPartitions("_cell").mapInArrow(task, schema)
+    # A fixed number of partitions: cells are costly for their size, so they must
+    # not be packed together by bytes.
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.repartition(parts, "_cell").sortWithinPartitions("_cell").mapInArrow(task, schema)
 
 
 # ---- task-side views of a cell ----------------------------------------------

@@ -219,10 +219,10 @@ def dedup_by_tokens(
     Sets meet only in the buckets of their rarest tokens, a filter that loses no
     pair above the threshold; a bucket too large for one cell is cut into blocks.
     """
-    words = F.array_sort(F.array_distinct(tokens(text, kind)))
+    words = F.sort_array(F.array_distinct(tokens(text, kind)))
     keys = [F.coalesce(F.col(b).cast("string"), F.lit("?")).alias(b) for b in by]
     rows = df.select(F.col(id).cast("long").alias("id"), *by, words.alias("words")).select("id", *keys, "words")
-    rows = rows.withColumn("_form", F.when(F.size("words") > 0, F.md5(F.array_join("words", " "))).otherwise(F.col("id").cast("string")))
+    rows = rows.withColumn("_form", F.when(F.size("words") > 0, F.concat_ws("-", F.xxhash64("words"), F.xxhash64(F.lit(1), "words"))).otherwise(F.col("id").cast("string")))
     firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
     copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "words"))
     unique = copies.filter("id = _first").drop("_first")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sievework.session import spread
+
 SPACES = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = f"[{SPACES}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -15,7 +17,7 @@ BN = r"\x{0980}-\x{09ff}"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 # ---- wrapped inputs, in SQL common to Spark and DuckDB ------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,14 +24,34 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the checkpoint folder of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; a private
     folder is made only where that is unset, which is the case in local tests.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an input too small to occupy the cluster over its cores.
+
+    An input with as many splits as cores, as any large one has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -55,7 +55,7 @@ def _view_sql(by, kind, columns, sample=300):
     u as (select {keys}, count(*) as count, count(distinct form) as unique_normalized, count(*) - count(distinct form) as exact_duplicates,
       round((count(*) - count(distinct form)) / count(*), 6) as duplicate_rate from f group by {keys}),
     t as (select doc_id, {keys}, unnest(w) as t1, generate_subscripts(w, 1) as i from f),
-    o as (select *, lead(t1) over (partition by doc_id order by i) as t2, lead(t1, 2) over (partition by doc_id order by i) as t3 from t),
+    o as (select *, lead(t1) over (partition by doc_id, {keys} order by i) as t2, lead(t1, 2) over (partition by doc_id, {keys} order by i) as t3 from t),
     g as (select {keys}, count(*) filter (n = 1) as total_tokens, count(distinct g) filter (n = 1) as vocab,
       round(count(distinct g) filter (n = 1) / count(*) filter (n = 1), 6) as ttr, {ratio} from ({grams}) group by {keys}),
     p as (select {keys}, list_distinct(w) as w, row_number() over ({part} order by {hashed(0, 'doc_id')}, doc_id) - 1 as r from f),

@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 
 from sievework.functions import text as t
 from sievework.operators import dedup, validate
+from sievework.plans import audit, cleaning
+from sievework.session import new_folder
 from sievework.sources import readers, writers
+from sievework.streaming import incremental
 
-from .common import BULLETS, MARKED, PIPE, SPACE, documents, normal_form, strip, table
+from .common import BULLETS, MARKED, PIPE, documents, normal_form, strip, table
+from .corpus import _view_sql, rounded
 from .texts import _BENG, _DEVA, _bullet, _layout, _CLASS, _SUBJECT
 
 QUERIES: dict = {}
@@ -35,7 +39,12 @@ SIZE = "case when doc_id % 40 = 10 then 2 else 3 end"
 
 
 def chats(spark, d):
-    rows = documents(spark, d, sys=SYSTEM, usr=USER, ast=ASSISTANT, second=ROLE, size=SIZE)
+    return as_chats(documents(spark, d))
+
+
+def as_chats(docs):
+    inputs = {"sys": SYSTEM, "usr": USER, "ast": ASSISTANT, "second": ROLE, "size": SIZE}
+    rows = docs.select("doc_id", *[F.expr(sql).alias(name) for name, sql in inputs.items()])
     message = lambda role, content: F.struct(role.alias("role"), F.col(content).alias("content"))
     whole = F.array(message(F.lit("system"), "sys"), message(F.col("second"), "usr"), message(F.lit("assistant"), "ast"))
     return rows.select(F.col("doc_id").alias("id"), F.slice(whole, F.lit(1), F.col("size")).alias("messages"))
@@ -216,3 +225,44 @@ def contract_violations(spark, d):
         (F.col("doc_id") % 900).alias("id"), F.col("g").alias("generation"),
         F.when(F.col("doc_id") % 31 != 0, F.col("lang")).alias("question"))
     return validate.contract_violations(rows, ["id", "generation", "question"])
+
+
+# ---- incremental and whole runs ---------------------------------------------------
+
+@query(VALIDATED + " select id, reason, hash from validated")
+def stream_validate(spark, d):
+    """The documents as a file stream: checked and deduplicated as they arrive."""
+    schema = spark.read.parquet(f"{d}/documents.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+    out = new_folder(spark, "stream")
+    incremental.run(incremental.checked_stream(as_chats(stream)), out, f"{out}/checkpoint").awaitTermination()
+    return incremental.results(spark, out)
+
+
+def three_messages(spark, d):
+    return chats(spark, d).filter(F.size("messages") >= 3)
+
+
+_VIEWS = f"""(select doc_id, 'system' as view, {SYSTEM} as text from documents where doc_id % 40 <> 10 union all
+  select doc_id, 'user', {USER} from documents where doc_id % 40 <> 10 union all select doc_id, 'assistant', {ASSISTANT} from documents where doc_id % 40 <> 10)"""
+
+
+@query(f"""select view, round(100 * (0.35 * (1 - jaccard_mean) + 0.25 * distinct_2 + 0.2 * (1 - (count - unique_normalized) / count) + 0.1), 2) as score,
+  count, vocab, total_tokens, jaccard_pairs from ({_view_sql(('view',), 'bn', '*').replace('from documents)', 'from ' + _VIEWS + ')')})""")
+def audit_views(spark, d):
+    texts = audit.views(three_messages(spark, d))
+    # The sample order hashes the id alone, as the SQL does.
+    found = audit.view_scores(texts)
+    return found.select("view", F.round("score", 2).alias("score"), "count", "vocab", "total_tokens", "jaccard_pairs")
+
+
+@query()
+def audit_by_subject(spark, d):
+    known = audit.with_meta(three_messages(spark, d))
+    texts = audit.views(known, ["subject"]).filter("view = 'assistant'")
+    return rounded(audit.strata(texts, "subject"))
+
+
+@query()
+def clean_corpus(spark, d):
+    return cleaning.clean_corpus(chats(spark, d)).report

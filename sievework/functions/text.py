@@ -107,7 +107,7 @@ def tokens(s: Column | str, kind: str = "bn") -> Column:
     if kind == "bn":
         return _find_all(normalize_digits(low), rf"[{BENGALI}]+|[a-z0-9]+")
     if kind == "space":
-        return _find_all(col(s), SPACE.replace("[", "[^", 1) + "+")
+        return _find_all(col(s), r"(?U)[^\s\x1c-\x1f]+")
     patterns = {
         "word": rf"{WORD}+",
         "ascii": r"[a-z0-9]+",

@@ -42,23 +42,31 @@ def into_cells(rows: DataFrame, bucket: Sequence[str], blocks: str, id: str) ->
 
 
 def run_cells(
-    cells: DataFrame, work: Callable[[pa.Table], Iterable[pa.RecordBatch]], schema: StructType | str,
+    cells: DataFrame, work: Callable[[pa.Table, np.ndarray], Iterable[pa.RecordBatch]], schema: StructType | str,
 ) -> DataFrame:
-    """Apply ``work`` to every cell."""
+    """Apply ``work`` to runs of whole cells: their rows and the bounds between them."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[pa.RecordBatch] = []
+        held: list[pa.RecordBatch] = []
         open_cell = None
         for batch in batches:
             runs = pc.run_end_encode(batch.column(batch.schema.get_field_index("_cell")))
-            start = 0
-            for end, cell in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
-                if parts and cell != open_cell:
-                    yield from work(pa.Table.from_batches(parts))
-                    parts = []
-                parts.append(batch.slice(start, end - start))
-                open_cell, start = cell, end
-        if parts:
-            yield from work(pa.Table.from_batches(parts))
+            ends, names = runs.run_ends.to_pylist(), runs.values.to_pylist()
+            if not ends:
+                continue
+            if held and names == [open_cell]:
+                held.append(batch)
+                continue
+            before = sum(b.num_rows for b in held)
+            bounds = [0, *[before + e for e in ends[:-1]]]
+            if held and names[0] != open_cell:
+                bounds.insert(1, before)
+            last = ends[-2] if len(ends) > 1 else 0
+            if bounds[-1] > 0:
+                yield from work(pa.Table.from_batches([*held, batch.slice(0, last)]), np.array(bounds))
+            held, open_cell = [batch.slice(last)], names[-1]
+        if held:
+            table = pa.Table.from_batches(held)
+            yield from work(table, np.array([0, table.num_rows]))
 
     # A fixed number of partitions: cells are costly for their size, so they must
     # not be packed together by bytes.
@@ -66,6 +74,15 @@ def run_cells(
     return cells.repartition(parts, "_cell").sortWithinPartitions("_cell").mapInArrow(task, schema)
 
 
+def each_cell(work: Callable[[pa.Table], Iterable[pa.RecordBatch]]) -> Callable:
+    """``work`` on one cell at a time."""
+    def run(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            yield from work(table.slice(start, end - start))
+
+    return run
+
+
 # ---- task-side views of a cell ----------------------------------------------
 
 def sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
@@ -96,14 +113,11 @@ def sparse(table: pa.Table, places: str, weights: str | None = None) -> np.ndarr
     return matrix
 
 
-def products(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Products of each unordered pair once, in strips: rows, columns, values."""
+def products(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
+    """Products in strips of rows: first row, values, and which of them count.
+    Within one block each pair counts once, above the diagonal."""
     strip = max(1, 1_000_000 // max(1, len(right)))
     for start in range(0, len(left), strip):
         values = left[start:start + strip] @ right.T
-        if same:
-            r, c = np.nonzero(np.arange(len(right)) > np.arange(start, start + len(values))[:, None])
-            yield r + start, c, values[r, c]
-        else:
-            r, c = np.indices(values.shape)
-            yield r.ravel() + start, c.ravel(), values.ravel()
+        counts = np.arange(len(right)) > np.arange(start, start + len(values))[:, None] if same else None
+        yield start, values, counts

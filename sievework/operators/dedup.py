@@ -17,7 +17,7 @@ def exact_duplicate_groups(df: DataFrame, text: str, id: str, width: int = 2000)
 
 def exact_duplicate_members(df: DataFrame, text: str, id: str) -> DataFrame:
     """Members of those groups, one row each (a group may be of any size)."""
-    rows = df.select(F.col(id), F.sha2(text, 256).alias("_digest"))
+    rows = df.select(F.col(id), F.coalesce(F.sha2(text, 256), F.lit("")).alias("_digest"))
     groups = rows.groupBy("_digest").agg(F.min(id).alias("first_id"), F.count("*").alias("count")).filter("count > 1")
     return rows.join(groups, "_digest").select("first_id", "count", id)
 

@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import tokens
 from ..session import checkpointed
-from .cells import BLOCK_ROWS, block_count, dense, into_cells, run_cells, sides, sparse
+from .cells import BLOCK_ROWS, block_count, dense, each_cell, into_cells, run_cells, sides, sparse
 
 LISTED = 8
+FEW_ROWS = 16
 LIST_SCHEMA = "id long, other long, sim double, cut boolean"
 IN_ONE_TASK = 200_000
 
@@ -72,6 +73,39 @@ def _neighbour_lists(similar: Callable, threshold: float, listed: int) -> Callab
     return work
 
 
+def _token_lists(similar: Callable, threshold: float, listed: int) -> Callable:
+    """The same for token sets, where most cells hold a handful of rows: those are
+    compared set by set, larger ones as a matrix."""
+    matrix_work = _neighbour_lists(similar, threshold, listed)
+
+    def work(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, sizes, asks, stands = (table[c].to_pylist() for c in ("id", "n", "asks", "stands"))
+        whole = np.logical_and(table["_low"].to_numpy(), table["_high"].to_numpy())
+        found: list[tuple[int, int, float, bool]] = []
+        column = table["set"]
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if end - start > FEW_ROWS or not whole[start:end].all():
+                yield from matrix_work(table.slice(start, end - start))
+                continue
+            if end - start < 2:
+                continue
+            sets = [frozenset(column[i].values.to_numpy().tolist()) for i in range(start, end)]
+            for x in range(end - start):
+                for y in range(x):
+                    j, i = (start + x, start + y) if ids[start + x] > ids[start + y] else (start + y, start + x)
+                    low, high = sorted((sizes[i], sizes[j]))
+                    if asks[j] and stands[i] and low > threshold * high:
+                        both = len(sets[x] & sets[y])
+                        sim = both / (low + high - both)
+                        if sim > threshold:
+                            found.append((ids[j], ids[i], sim, False))
+        if found:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in zip(*found)], names=["id", "other", "sim", "cut"])
+
+    return work
+
+
 def _settle(lists: DataFrame) -> DataFrame:
     """Rounds over the neighbour lists: ``id, kept``; ``kept`` is null for rows
     whose cut lists leave them open."""
@@ -179,6 +213,12 @@ def _scanner(rows: DataFrame, to_cells: Callable[[DataFrame], DataFrame], work:
     return scan
 
 
+def _form(values: Column) -> Column:
+    """What identifies equal arrays. Never null, or the join on it would push a
+    null check, and with it all that makes the array, down to the scan."""
+    return F.concat_ws("-", F.xxhash64(values), F.xxhash64(F.lit(1), values))
+
+
 def dedup_by_vector(
     df: DataFrame, id: str, vector: str, by: Sequence[str], threshold: float = 0.88,
     block_rows: int = BLOCK_ROWS, listed: int = LISTED, in_one_task: int = IN_ONE_TASK,
@@ -186,7 +226,7 @@ def dedup_by_vector(
     """Keep-first by cosine of unit vectors inside buckets ``by``."""
     rows = df.select(F.col(id).cast("long").alias("id"), *by, F.col(vector).alias("vector"))
     keys = [F.coalesce(F.col(b).cast("string"), F.lit("?")).alias(b) for b in by]
-    rows = rows.select("id", *keys, "vector", F.concat_ws("-", F.xxhash64("vector"), F.xxhash64(F.lit(1), "vector")).alias("_form"))
+    rows = rows.select("id", *keys, "vector", _form(F.col("vector")).alias("_form"))
     firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
     copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "vector"))
     unique = copies.filter("id = _first").drop("_first")
@@ -199,7 +239,7 @@ def dedup_by_vector(
     def to_cells(flagged: DataFrame) -> DataFrame:
         return into_cells(flagged.join(sizes, list(by)), by, "_blocks", "id")
 
-    dropped = _greedy(_scanner(unique, to_cells, _neighbour_lists(similar, threshold, listed)), in_one_task)
+    dropped = _greedy(_scanner(unique, to_cells, each_cell(_neighbour_lists(similar, threshold, listed))), in_one_task)
     size = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return _with_copies(dropped, copies.withColumn("_size", size), F.col("_size"))
 
@@ -222,7 +262,7 @@ def dedup_by_tokens(
     words = F.sort_array(F.array_distinct(tokens(text, kind)))
     keys = [F.coalesce(F.col(b).cast("string"), F.lit("?")).alias(b) for b in by]
     rows = df.select(F.col(id).cast("long").alias("id"), *by, words.alias("words")).select("id", *keys, "words")
-    rows = rows.withColumn("_form", F.when(F.size("words") > 0, F.concat_ws("-", F.xxhash64("words"), F.xxhash64(F.lit(1), "words"))).otherwise(F.col("id").cast("string")))
+    rows = rows.withColumn("_form", F.when(F.size("words") > 0, _form(F.col("words"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit(""))))
     firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
     copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "words"))
     unique = copies.filter("id = _first").drop("_first")
@@ -253,7 +293,7 @@ def dedup_by_tokens(
 
         return score
 
-    dropped = _greedy(_scanner(sets, to_cells, _neighbour_lists(similar, threshold, listed)), in_one_task)
+    dropped = _greedy(_scanner(sets, to_cells, _token_lists(similar, threshold, listed)), in_one_task)
     return _with_copies(dropped, copies, F.lit(1.0))
 
 

@@ -28,7 +28,7 @@ def template_split(
     template ahead of the shuffle, so one that holds a third of all rows sends
     no more than any other.
     """
-    known = rows.withColumn("template", template(text))
+    known = rows.withColumn("template", F.coalesce(template(text), F.lit("")))
     rank = F.row_number().over(Window.partitionBy("template").orderBy(hash_key(seed, id), id))
     capped = known.withColumn("_rank", rank).filter(F.col("_rank") <= max(train_cap, eval_cap))
     held = mark_first(

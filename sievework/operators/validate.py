@@ -64,10 +64,12 @@ def mark_exact_copies(checked: DataFrame, id: str = "id") -> DataFrame:
     """Rule eight: of the passers with one hash only the first id stays.
 
     First ids come from a combined aggregate and return by a join on the unique
-    id, so a hash shared by very many rows never meets in one task.
+    id, so a hash shared by very many rows never meets in one task. Rows without
+    a hash form a group too; its first id has a reason already. (A filter on the
+    reason would only be pushed down and run the rules a second time.)
     """
     first = (
-        checked.filter("reason is null").groupBy("hash").agg(F.min(id).alias("_first"))
+        checked.groupBy("hash").agg(F.min(id).alias("_first"))
         .select(F.col("_first"), F.lit(True).alias("_is_first"))
     )
     marked = checked.join(first, checked[id] == first["_first"], "left")

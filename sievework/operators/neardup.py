@@ -213,6 +213,12 @@ def _scanner(rows: DataFrame, to_cells: Callable[[DataFrame], DataFrame], work:
     return scan
 
 
+def _buckets(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Bucket columns as strings under names of their own; null counts as ``?``."""
+    keys = [f"_key{i}" for i in range(len(by))]
+    return df.select("*", *[F.coalesce(F.col(b).cast("string"), F.lit("?")).alias(k) for b, k in zip(by, keys)]), keys
+
+
 def _form(values: Column) -> Column:
     """What identifies equal arrays. Never null, or the join on it would push a
     null check, and with it all that makes the array, down to the scan."""
@@ -224,9 +230,9 @@ def dedup_by_vector(
     block_rows: int = BLOCK_ROWS, listed: int = LISTED, in_one_task: int = IN_ONE_TASK,
 ) -> DataFrame:
     """Keep-first by cosine of unit vectors inside buckets ``by``."""
-    rows = df.select(F.col(id).cast("long").alias("id"), *by, F.col(vector).alias("vector"))
-    keys = [F.coalesce(F.col(b).cast("string"), F.lit("?")).alias(b) for b in by]
-    rows = rows.select("id", *keys, "vector", _form(F.col("vector")).alias("_form"))
+    rows, by = _buckets(df, by)
+    rows = rows.select(F.col(id).cast("long").alias("id"), *by, F.col(vector).alias("vector"))
+    rows = rows.select("id", *by, "vector", _form(F.col("vector")).alias("_form"))
     firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
     copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "vector"))
     unique = copies.filter("id = _first").drop("_first")
@@ -260,8 +266,8 @@ def dedup_by_tokens(
     pair above the threshold; a bucket too large for one cell is cut into blocks.
     """
     words = F.sort_array(F.array_distinct(tokens(text, kind)))
-    keys = [F.coalesce(F.col(b).cast("string"), F.lit("?")).alias(b) for b in by]
-    rows = df.select(F.col(id).cast("long").alias("id"), *by, words.alias("words")).select("id", *keys, "words")
+    rows, by = _buckets(df, by)
+    rows = rows.select(F.col(id).cast("long").alias("id"), *by, words.alias("words"))
     rows = rows.withColumn("_form", F.when(F.size("words") > 0, _form(F.col("words"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit(""))))
     firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
     copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "words"))

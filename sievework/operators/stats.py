@@ -9,18 +9,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import hash_normalize, preview, tokens
+from .grouping import named, with_keys
 from .ordering import hash_key
 
-ALL = "_all"
 COUNTS = ["total_tokens", "vocab", "jaccard_pairs"]
 RATIOS = ["ttr", "distinct_1", "distinct_2", "distinct_3",
           "jaccard_mean", "jaccard_p95", "jaccard_max", "jaccard_share_gt_08"]
 
 
-def _grouped(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    return (df, list(by)) if by else (df.withColumn(ALL, F.lit(1)), [ALL])
-
-
 def _side_by_side(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Join small per-group frames; a null group is a group of its own."""
     def pair(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -32,9 +28,9 @@ def _side_by_side(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(pair, parts)
 
 
-def _complete(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+def _complete(df: DataFrame, found: DataFrame, keys: list[str], by: Sequence[str]) -> DataFrame:
     """``found`` for every group of ``df``, zeros for a group it lacks."""
-    return _zeros(_side_by_side([df.select(*keys).distinct(), found], keys)).drop(ALL)
+    return named(_zeros(_side_by_side([df.select(*keys).distinct(), found], keys)), by)
 
 
 def _zeros(df: DataFrame) -> DataFrame:
@@ -82,15 +78,15 @@ def _text_features(df: DataFrame, text: str, keys: list[str], kind: str) -> Data
 
 def length_stats(df: DataFrame, text: str, by: Sequence[str] = (), kind: str = "bn") -> DataFrame:
     """Character and word length statistics; quantiles interpolate linearly."""
-    df, keys = _grouped(df, by)
+    df, keys = with_keys(df, by)
     features = _text_features(df, text, keys, kind)
-    return features.groupBy(*keys).agg(*_summary("chars", "rows"), *_summary("words", "rows")).drop(ALL)
+    return named(features.groupBy(*keys).agg(*_summary("chars", "rows"), *_summary("words", "rows")), by)
 
 
 def duplicate_stats(df: DataFrame, text: str, by: Sequence[str] = (), kind: str = "bn") -> DataFrame:
     """Rows, distinct normal forms, surplus copies, their rate and group count."""
-    df, keys = _grouped(df, by)
-    return _duplicates(_text_features(df, text, keys, kind), keys).drop(ALL)
+    df, keys = with_keys(df, by)
+    return named(_duplicates(_text_features(df, text, keys, kind), keys), by)
 
 
 def _duplicates(features: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,8 +110,8 @@ def ngram_stats(df: DataFrame, text: str, by: Sequence[str] = (), kind: str = "b
     two independent 64-bit hashes, so the shuffle moves fixed-width keys; counts
     are combined before it and no group is ever collected.
     """
-    df, keys = _grouped(df, by)
-    return _complete(df, _ngrams(df, text, keys, kind), keys)
+    df, keys = with_keys(df, by)
+    return _complete(df, _ngrams(df, text, keys, kind), keys, by)
 
 
 def _ngrams(df: DataFrame, text: str, keys: list[str], kind: str) -> DataFrame:
@@ -166,8 +162,8 @@ def jaccard_sample(
     The sample is the feature: the first ``sample`` texts of each group in hash
     order. ``share_gt_08`` is the true share of pairs above 0.8.
     """
-    df, keys = _grouped(df, by)
-    return _complete(df, _jaccards(df, text, id, keys, kind, sample, stride, seed), keys)
+    df, keys = with_keys(df, by)
+    return _complete(df, _jaccards(df, text, id, keys, kind, sample, stride, seed), keys, by)
 
 
 def _jaccards(
@@ -206,7 +202,7 @@ def view_stats(
     df: DataFrame, text: str, id: str, by: Sequence[str] = (), kind: str = "bn", sample: int = 300,
 ) -> DataFrame:
     """All light statistics of a text view, one row per group."""
-    df, keys = _grouped(df, by)
+    df, keys = with_keys(df, by)
     features = _text_features(df, text, keys, kind)
     lengths = features.groupBy(*keys).agg(*_summary("chars", "rows"), *_summary("words", "rows"))
     parts = [
@@ -215,7 +211,7 @@ def view_stats(
         _ngrams(df, text, keys, kind),
         _jaccards(df, text, id, keys, kind, sample),
     ]
-    return _zeros(_side_by_side(parts, keys)).drop(ALL)
+    return named(_zeros(_side_by_side(parts, keys)), by)
 
 
 def diversity_score(
@@ -263,17 +259,17 @@ def duplicate_examples(df: DataFrame, text: str, id: str, k: int = 5, kind: str
 
 def entropy(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Shannon entropy in bits, its maximum and the ratio; zeros for one class."""
-    df, keys = _grouped(df, by)
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("c"))
+    df, keys = with_keys(df, by)
+    counts = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("c"))
     total, classes = F.sum("c"), F.count("*")
     bits = F.log2(total) - F.sum(F.col("c") * F.log2("c")) / total
     many = classes > 1
-    return counts.groupBy(*keys).agg(
+    return named(counts.groupBy(*keys).agg(
         classes.alias("classes"),
         F.when(many, bits).otherwise(0.0).alias("entropy"),
         F.when(many, F.log2(classes)).otherwise(0.0).alias("max_entropy"),
         F.when(many, bits / F.log2(classes)).otherwise(0.0).alias("entropy_norm"),
-    ).drop(ALL)
+    ), by)
 
 
 def head_coverage(df: DataFrame, value: str, by: Sequence[str] = (), top: int = 5, share: float = 0.1) -> DataFrame:
@@ -282,8 +278,8 @@ def head_coverage(df: DataFrame, value: str, by: Sequence[str] = (), top: int =
     Values are ranked through the histogram of their counts, whose length grows
     only with the square root of the rows.
     """
-    df, keys = _grouped(df, by)
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("c"))
+    df, keys = with_keys(df, by)
+    counts = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("c"))
     histogram = counts.groupBy(*keys, "c").agg(F.count("*").alias("m"))
     group = Window.partitionBy(*keys)
     earlier = group.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, -1)
@@ -298,13 +294,13 @@ def head_coverage(df: DataFrame, value: str, by: Sequence[str] = (), top: int =
         return F.sum(taken * F.col("c")) / F.sum(F.col("c") * F.col("m"))
 
     tenth = F.greatest(F.lit(1), F.floor(F.col("_values") * F.lit(share)))
-    return ranked.groupBy(*keys).agg(
+    return named(ranked.groupBy(*keys).agg(
         F.sum("m").alias("values"),
         F.coalesce(F.sum(F.when(F.col("c") == 1, F.col("m"))), F.lit(0)).alias("singletons"),
         F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("m"))), F.lit(0)).alias("repeated"),
         covered(F.lit(top)).alias("top_cover"),
         covered(tenth).alias("head_cover"),
-    ).drop(ALL)
+    ), by)
 
 
 def count_matrix(df: DataFrame, row: str, column: str, columns: Sequence[str], total: str = "total") -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from sievework.functions import scores, text as t
 from sievework.operators import cluster, dedup, requests, split, verdicts
-from sievework.operators.ordering import shuffled, with_position
+from sievework.functions.stems import porter_stems
+from sievework.operators.ordering import hash_key, shuffled, with_position
+from sievework.plans import scoring
 
 from .common import RAW, SPACE, SPACES, WORD, documents, first_line, fold, hashed, quoted, strip, table, tokens
 from .corpus import rounded
@@ -114,7 +116,6 @@ def batch_numbers(spark, d):
 @query(f"select conv_id, turn, {hashed(5, chr(34) + 'conv_id' + chr(34) + ', ' + chr(39) + '|' + chr(39) + ', turn')} as h from conversations")
 def seeded_shuffle(spark, d):
     rows = table(spark, d, "conversations").select("conv_id", "turn")
-    from sievework.operators.ordering import hash_key
     return shuffled(rows, 5, "conv_id", "turn").withColumn("h", hash_key(5, "conv_id", "turn"))
 
 
@@ -169,6 +170,17 @@ def rouge_l(spark, d):
         "doc_id", "r.rougeL"))
 
 
+@query()
+def rouge_stemmed(spark, d):
+    found = scores.rouge("reference_answer", "sft_answer", stemmer=porter_stems)
+    return rounded(triples(spark, d).select("doc_id", found.alias("r")).select("doc_id", "r.*"))
+
+
+@query()
+def score_answers(spark, d):
+    return rounded(scoring.score_answers(triples(spark, d).withColumnRenamed("doc_id", "id")))
+
+
 def _mteval(x):
     s = f"' ' || replace(replace(replace(replace(replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' '), '&quot;', '\"'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>') || ' '"
     for p, r in ((r"([\{-\~\[-\x60 -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "),

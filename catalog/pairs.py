@@ -69,10 +69,11 @@ def emb_mean(spark, d):
     return rounded(similarity.mean_cosine(embeddings(spark, d), "embedding"))
 
 
-@query(f"""select row_number() over (order by score desc, p.i, p.j) as rank, p.i, p.j, round(score, 6) as score,
+@query(f"""select rank, p.i, p.j, round(score, 6) as score,
     replace(substr(x.text, 1, 200), chr(10), ' | ') as a_preview, replace(substr(y.text, 1, 200), chr(10), ' | ') as b_preview
-  from (select i, j, round(s, 9) as score from ({_PAIRS}) order by score desc, i, j limit 20) p
-  join documents x on x.doc_id = p.i join documents y on y.doc_id = p.j""")
+  from (select row_number() over (order by score desc, i, j) as rank, i, j, score
+    from (select i, j, round(s, 9) as score from ({_PAIRS})) order by rank limit 20) p
+  left join documents x on x.doc_id = p.i left join documents y on y.doc_id = p.j""")
 def emb_top_pairs(spark, d):
     pairs = similarity.top_pairs(embeddings(spark, d), "vec_id", "embedding", 20)
     return rounded(similarity.with_previews(pairs, table(spark, d, "documents"), "doc_id", "text"))

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HASH_RANGES = 16 ** 4
-ID_RANGES = 512
+ID_RANGES = 16 ** 4
+ROWS_PER_RANGE = 200_000
 
 
 def hash_key(seed: int, *keys: str) -> Column:
@@ -36,10 +37,15 @@ def _offsets(ranges: DataFrame) -> DataFrame:
 
 
 def with_position(df: DataFrame, id: str, name: str = "position") -> DataFrame:
-    """Zero-based position of each row in the order of a unique numeric id."""
-    cuts = df.approxQuantile(id, [i / ID_RANGES for i in range(1, ID_RANGES)], 1 / (4 * ID_RANGES))
-    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    ranged = df.withColumn("_range", F.size(F.filter(cuts, lambda c: c <= F.col(id))))
+    """Zero-based position of each row in the order of a unique whole-number id.
+
+    One aggregate finds the span of the ids, which is cut into equal ranges; as
+    ids are unique, a range holds at most its width of rows.
+    """
+    low, high, rows = df.agg(F.min(id), F.max(id), F.count("*")).first()
+    ranges = max(1, min(ID_RANGES, (rows or 0) // ROWS_PER_RANGE))
+    width = max(1, -(-((high or 0) - (low or 0) + 1) // ranges))
+    ranged = df.withColumn("_range", F.floor((F.col(id) - F.lit(low or 0)) / F.lit(width)).cast("int"))
     offsets = _offsets(ranged.groupBy("_range").agg(F.count("*").alias("_rows")))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(id)) - 1
     return (

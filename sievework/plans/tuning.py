@@ -39,7 +39,9 @@ def build_tuning_set(
     records = records.select(key, *keep)
     if identity:
         fixed = split.identity_rows(rows.sparkSession, identity, system)
-        records = records.unionByName(fixed.select(F.concat(F.lit("identity-"), F.md5(F.to_json("messages")), F.lit("-"), F.monotonically_increasing_id().cast("string")).alias("_key"), *keep))
+        # Repeats of an identity row share a key: equal rows may come in any order.
+        named = F.concat(F.lit("identity-"), F.md5(F.to_json("messages"))).alias("_key")
+        records = records.unionByName(fixed.select(named, *keep))
     card = split.data_card(records, split.template_sides(rows, "text", eval_share, seed))
     ordered = shuffled(records, seed, "_key").drop("_key")
     return TuningSet(

@@ -123,13 +123,13 @@ def _ngrams(df: DataFrame, text: str, keys: list[str], kind: str) -> DataFrame:
     )
     places = shifted.select(*keys, F.explode(F.arrays_zip("t1", "t2", "t3")).alias("g")).select(*keys, "g.*")
 
-    def gram(n: int) -> Column:
+    def half(n: int, seed: int) -> Column:
         words = [F.col(f"t{i}") for i in range(1, n + 1)]
-        key = F.struct(F.lit(n).alias("n"), F.xxhash64(*words).alias("a"), F.xxhash64(F.lit(n), *words).alias("b"))
-        return F.when(words[-1].isNotNull(), key)
+        return F.when(words[-1].isNotNull(), F.xxhash64(F.lit(seed), *words)).alias(f"h{n}{seed}")
 
-    grams = places.select(*keys, F.explode(F.array(gram(1), gram(2), gram(3))).alias("k")).filter("k is not null")
-    counted = grams.select(*keys, "k.*").groupBy(*keys, "n", "a", "b").agg(F.count("*").alias("c"))
+    hashed = places.select(*keys, *[half(n, seed) for n in (1, 2, 3) for seed in (0, 1)])
+    grams = hashed.select(*keys, F.expr("stack(3, 1, h10, h11, 2, h20, h21, 3, h30, h31) as (n, a, b)")).filter("a is not null")
+    counted = grams.groupBy(*keys, "n", "a", "b").agg(F.count("*").alias("c"))
 
     def distinct(n: int) -> Column:
         return F.count_if(F.col("n") == n)

@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_copies import exact_copies
+from .quality import COUNTS, quality_rules
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(read(spark, folder, "documents")).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
+
+
 def op7_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(read(spark, folder, "documents")).drop("same_row")
 
 
 QUERIES = {
+    "op5_quality_rules": op5_quality_rules,
     "op7_exact_copies": op7_exact_copies,
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_copies import exact_copies
+from .near_copies import near_copies
 from .quality import COUNTS, quality_rules
 
 
@@ -16,12 +17,17 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(read(spark, folder, "documents")).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
 
+def op6_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(read(spark, folder, "documents"))
+
+
 def op7_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(read(spark, folder, "documents")).drop("same_row")
 
 
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op6_near_copies": op6_near_copies,
     "op7_exact_copies": op7_exact_copies,
 }
 

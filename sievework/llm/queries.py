@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_copies import exact_copies
 from .near_copies import near_copies
+from .packing import pack
 from .quality import COUNTS, quality_rules
 
 
@@ -25,10 +27,15 @@ def op7_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(read(spark, folder, "documents")).drop("same_row")
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
+
+
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_near_copies": op6_near_copies,
     "op7_exact_copies": op7_exact_copies,
+    "op9_packing": op9_packing,
 }
 
 ORACLES = {

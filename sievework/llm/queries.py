@@ -9,12 +9,22 @@ from .exact_copies import exact_copies
 from .near_copies import near_copies
 from .packing import pack
 from .quality import COUNTS, quality_rules
+from .token_files import token_files
+from .warc import warc_round_trip
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_round_trip(read(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(read(spark, folder, "documents")).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
@@ -32,6 +42,8 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
+    "op2_warc": op2_warc,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_copies": op6_near_copies,
     "op7_exact_copies": op7_exact_copies,
@@ -39,6 +51,13 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_warc": """
+select page_id, octet_length(encode(t)) as payload_bytes, array_to_string(list_transform(range(0, 32), i ->
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), j -> (2 ** (4 - j))::int * substr(b, (5 * i + j + 1)::int, 1)::int))::int, 1)), '')
+    as payload_digest,
+  case when page_id = m then 'response' else 'revisit' end as record_type, case when page_id <> m then m end as refers_to
+from (select page_id, t, unhex(sha1(t))::bit::varchar as b, min(page_id) over (partition by t) as m
+  from (select page_id, coalesce(html, '') as t from pages))""",
     "op7_exact_copies": """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept,
   sha256(coalesce(text, '')) as text_sha256

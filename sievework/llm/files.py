@@ -16,7 +16,7 @@ def create(folder: str, prefix: str, suffix: str):
     system, path = fs.FileSystem.from_uri(folder)
     system.create_dir(path, recursive=True)
     name = f"{prefix}-{uuid.uuid4().hex}{suffix}"
-    return system.open_output_stream(f"{path}/{name}"), f"{folder}/{name}"
+    return system.open_output_stream(f"{path}/{name}", compression=None), f"{folder}/{name}"
 
 
 def opened(address: str):

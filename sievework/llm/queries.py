@@ -52,8 +52,8 @@ QUERIES = {
 
 ORACLES = {
     "op2_warc": """
-select page_id, octet_length(encode(t)) as payload_bytes, array_to_string(list_transform(range(0, 32), i ->
-    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), j -> (2 ** (4 - j))::int * substr(b, (5 * i + j + 1)::int, 1)::int))::int, 1)), '')
+select page_id, octet_length(encode(t)) as payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), lambda j: (2 ** (4 - j))::int * substr(b, (5 * i + j + 1)::int, 1)::int))::int, 1)), '')
     as payload_digest,
   case when page_id = m then 'response' else 'revisit' end as record_type, case when page_id <> m then m end as refers_to
 from (select page_id, t, unhex(sha1(t))::bit::varchar as b, min(page_id) over (partition by t) as m

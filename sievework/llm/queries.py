@@ -10,6 +10,7 @@ from .near_copies import near_copies
 from .packing import pack
 from .quality import COUNTS, quality_rules
 from .token_files import token_files
+from .url_filter import claimed_twice, filter_urls
 from .warc import warc_round_trip
 
 
@@ -25,6 +26,11 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_round_trip(read(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages").select("page_id", "url")
+    return filter_urls(pages, claimed_twice(pages))
+
+
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(read(spark, folder, "documents")).select("doc_id", *COUNTS, "base_failed", "kept", "distance")
 
@@ -44,6 +50,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_warc": op2_warc,
+    "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_copies": op6_near_copies,
     "op7_exact_copies": op7_exact_copies,
@@ -58,6 +65,20 @@ select page_id, octet_length(encode(t)) as payload_bytes, array_to_string(list_t
   case when page_id = m then 'response' else 'revisit' end as record_type, case when page_id <> m then m end as refers_to
 from (select page_id, t, unhex(sha1(t))::bit::varchar as b, min(page_id) over (partition by t) as m
   from (select page_id, coalesce(html, '') as t from pages))""",
+    "op4_url_filter": r"""
+with cut as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+named as (select *, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&'),
+    lambda p: p <> '' and not regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') as query from cut),
+formed as (select *, case when h <> '' then h || regexp_replace(path, '/+$', '') || case when query <> '' then '?' || query else '' end end as canonical
+  from (select *, regexp_replace(regexp_replace(regexp_replace(host, '^[^@]*@', ''), ':(80|443)$', ''), '^www\.', '') as h from named)),
+ruled as (select *, case when host = 'example.org' or host like '%.example.org' then
+    case when starts_with(path, '/en/1') then 'example.org/en/1' when starts_with(path, '/es/') then 'example.org/es/' when starts_with(path, '/') then 'org/' end
+  when host = 'org' or host like '%.org' then case when starts_with(path, '/') then 'org/' end
+  when host = 'com' or host like '%.com' then case when starts_with(path, '/fr/') then 'com/fr/' when starts_with(path, '/de/') then 'com/de/' end end as rule,
+  coalesce(count(*) over (partition by canonical) > 1 and canonical is not null, false) as listed from formed)
+select page_id, host, path, rule, case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null or listed then 'block' else 'allow' end as verdict, listed
+from ruled""",
     "op7_exact_copies": """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept,
   sha256(coalesce(text, '')) as text_sha256

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_copies import exact_copies
+from .licenses import scan_licenses
 from .near_copies import near_copies
 from .packing import pack
 from .quality import COUNTS, quality_rules
@@ -26,6 +27,10 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc_round_trip(read(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(read(spark, folder, "documents")).drop("spans")
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = read(spark, folder, "pages").select("page_id", "url")
     return filter_urls(pages, claimed_twice(pages))
@@ -50,6 +55,7 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_warc": op2_warc,
+    "op3_licenses": op3_licenses,
     "op4_url_filter": op4_url_filter,
     "op5_quality_rules": op5_quality_rules,
     "op6_near_copies": op6_near_copies,

@@ -9,6 +9,7 @@ from .exact_copies import exact_copies
 from .licenses import scan_licenses
 from .near_copies import near_copies
 from .packing import pack
+from .pieces import encode_pieces
 from .quality import COUNTS, quality_rules
 from .token_files import token_files
 from .url_filter import claimed_twice, filter_urls
@@ -48,6 +49,10 @@ def op7_exact_copies(spark: SparkSession, folder: str) -> DataFrame:
     return exact_copies(read(spark, folder, "documents")).drop("same_row")
 
 
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_pieces(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), outputs=False)
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_near_copies": op6_near_copies,
     "op7_exact_copies": op7_exact_copies,
+    "op8_pieces": op8_pieces,
     "op9_packing": op9_packing,
 }
 

@@ -4,10 +4,10 @@ Every shingle falls into one of 192 buckets by its hash; a bucket keeps its leas
 as a count of leading zeros and ten mantissa bits. Six registers make a band; texts that share a
 band meet. Of a band's texts the first is compared with all others: the share of equal registers
 less the expected chance collisions estimates the similarity, pairs within five deviations of the
-threshold are verified on their full shingle sets. Where the other texts of a band are not yet in one
-component after that, they are compared with each other in cells of two blocks, which return at
-most one link per row. So no link that joins components is lost within a band, and no group
-returns all its pairs. A pair at the threshold shares no band with a probability of 3e-7.
+threshold are verified on their full shingle sets. Where a band's texts are not in one component after that,
+those outside its largest component are compared with all its texts of other components, in cells of two
+blocks that return at most one link per part they join. So no link that joins components is lost
+within a band, and no group returns all its pairs. A pair at the threshold shares no band with a probability of 3e-7.
 
 Texts with the same set are one text throughout; the texts' sets are read again only for those that
 are compared.
@@ -34,7 +34,8 @@ REGISTERS = 192
 ROWS_PER_BAND = 6
 MANTISSA = 10
 DEVIATIONS = 5
-BLOCK = 256
+#: Texts of a cell: outside the largest component, and of the whole band.
+BLOCK, BAND_BLOCK = 1024, 1024
 WIDTH = 5
 #: Expected share of registers that agree by chance, times two to the mantissa's bits, for sets of one size.
 CHANCE = 0.1699
@@ -72,7 +73,7 @@ def likely(one: np.ndarray, many: np.ndarray, n: int, ns: np.ndarray, threshold:
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether 100 * intersection >= percent * union."""
     both = np.concatenate([a, b])
-    both.sort()
+    both.sort(kind="stable")  # merges the two runs
     common = int((both[1:] == both[:-1]).sum())
     return 100 * common >= percent * (len(both) - common)
 
@@ -143,31 +144,33 @@ def star_pairs(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, list
 
 
 def _cell_links(percent: int) -> Callable:
-    """Links between rows of different labels in a cell, at most one per pair of parts that it joins."""
+    """Links of a cell from its texts of side 0 to those of side 1 under other labels, at most one per pair of parts that it joins."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, low, high), rows in _runs(batches, 3):
-            blocks = np.array([r[0] for r in rows])
-            nodes, labels, ns = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3))
+        for _, rows in _runs(batches, 3):
+            side, node, label, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
             regs = np.stack([np.frombuffer(r[4], np.uint16) for r in rows])
-            part = {int(x): int(x) for x in labels}
-
-            def root(x):
-                while part[x] != x:
-                    part[x] = part[part[x]]
-                    x = part[x]
-                return x
-
+            some, all_ = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            sets = [np.frombuffer(r[5], np.uint64) for r in rows]
+            sizes = np.array([len(x) for x in sets])
+            starts = np.cumsum(sizes) - sizes
+            number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            mark = np.zeros(len(number) + 1, bool)
             found = []
-            for i in np.flatnonzero(blocks == low):
-                rest = np.flatnonzero(blocks == high) if high != low else np.arange(i + 1, len(rows))
-                rest = rest[labels[rest] != labels[i]]
-                if len(rest) == 0:
+            for i in some:
+                other = all_[label[all_] != label[i]]
+                other = other[likely(regs[i], regs[other], int(n[i]), n[other], percent / 100)]
+                if len(other) == 0:
                     continue
-                for j in rest[likely(regs[i], regs[rest], int(ns[i]), ns[rest], percent / 100)]:
-                    a, b = root(int(labels[i])), root(int(labels[j]))
-                    if a != b and linked(np.frombuffer(rows[i][5], np.uint64), np.frombuffer(rows[j][5], np.uint64), percent):
-                        part[max(a, b)] = min(a, b)
-                        found.append((nodes[i], nodes[j]))
+                own = number[starts[i]:starts[i] + sizes[i]]
+                mark[own] = True
+                within = np.cumsum(sizes[other]) - sizes[other]
+                shingles = number[np.repeat(starts[other] - within, sizes[other]) + np.arange(int(sizes[other].sum()))]
+                common = np.add.reduceat(mark[shingles], within, dtype=np.int64)
+                mark[own] = False
+                for j in other[100 * common >= percent * (sizes[i] + sizes[other] - common)]:
+                    if label[j] != label[i]:
+                        found.append((node[i], node[j]))
+                        label[label == label[j]] = label[i]
             if found:
                 yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["u", "v"])
 
@@ -208,12 +211,12 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
         sets = texts.mapInArrow(_sets, "set binary, members binary")
         return landed(sets.join(named.select("node", "set"), "set").groupBy("node").agg(F.first("members").alias("members")), "sets")
 
+    crowded = members.filter("n > 2")
     close = landed(star_pairs(pairs, nodes.select("node", "n_shingles", "registers"), by_estimate, ["n_shingles", "registers"]), "close")
-    sets = sets_of(close.select("node").union(close.select("pivot")).distinct())
+    sets = sets_of(close.select("node").union(close.select("pivot")).union(crowded.select("node")).distinct())
     links = landed(star_pairs(close, sets, by_sets, ["members"]).select(F.col("pivot").alias("u"), F.col("node").alias("v")), "links")
     labels = landed(components(links), "labels")
-
-    more = landed(_open_links(members.filter("n > 2 and node <> pivot"), labels, nodes, sets_of, percent), "links")
+    more = landed(_open_links(crowded, labels, nodes, sets, percent), "links")
     if not more.isEmpty():
         labels = landed(components(links.unionByName(more)), "labels")
 
@@ -226,22 +229,26 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
     return judged.select(columns).unionByName(alone.select(columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _open_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets_of: Callable, percent: int) -> DataFrame:
-    """Links between different components within bands whose texts, without the first, are in more than one."""
-    known = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = known.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"),
-        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all")).filter("low <> high")
-    once = landed(mixed.groupBy("all", "rows").agg(F.min("key").alias("key")).select(
-        "key", F.ceil(F.col("rows") / F.lit(BLOCK)).cast("int").alias("blocks"), "rows"), "mixed")  # bands of the same texts count once
-    rows = landed(join_groups(known, once, "key", "rows", members.count()), "open")
-    sets = sets_of(rows.select("node").distinct())
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "label")
-    full = placed.join(nodes.select("node", "n_shingles", "registers"), "node").join(sets, "node")
-    return (full.select("key", "low", "high", "block", "node", "label", "n_shingles", "registers", "members")
-            .repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(_cell_links(percent), "u long, v long"))
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+
+
+def _open_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components within bands, each text outside a band's largest component against all of the band."""
+    known = landed(_labelled(members, labels), "open")
+    sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("rows"), F.sum("all").alias("all")).filter("top.n < rows")
+    once = mixed.groupBy("all", "rows").agg(F.min(F.struct("key", "top")).alias("one")).select(  # bands of the same texts count once
+        F.col("one.key").alias("key"), F.col("one.top.label").alias("top"), "rows",
+        F.ceil((F.col("rows") - F.col("one.top.n")) / F.lit(BLOCK)).cast("int").alias("blocks"), F.ceil(F.col("rows") / F.lit(BAND_BLOCK)).cast("int").alias("bands"))
+    rows = join_groups(known, once, "key", "rows", members.count())
+    here = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    some = rows.filter("label <> top").select("key", here(F.col("blocks")).alias("block"), every("bands").alias("band"), F.lit(0).alias("side"), "node", "label")
+    whole = rows.select("key", every("blocks").alias("block"), here(F.col("bands")).alias("band"), F.lit(1).alias("side"), "node", "label")
+    full = some.unionByName(whole).join(nodes.select("node", "n_shingles", "registers"), "node").join(sets, "node")
+    return (full.select("key", "block", "band", "side", "node", "label", "n_shingles", "registers", "members")
+            .repartition("key", "block", "band").sortWithinPartitions("key", "block", "band").mapInArrow(_cell_links(percent), "u long, v long"))
 
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:

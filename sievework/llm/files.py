@@ -23,3 +23,14 @@ def opened(address: str):
     """A file for reads at any place."""
     system, path = fs.FileSystem.from_uri(address)
     return system.open_input_file(path)
+
+
+def mapped(address: str):
+    """The 64-bit words of a file, mapped into memory where the folder is mounted and read elsewhere."""
+    import numpy as np
+
+    system, path = fs.FileSystem.from_uri(address)
+    if isinstance(system, fs.LocalFileSystem):
+        return np.memmap(path, np.uint64, "r")
+    with system.open_input_file(path) as file:
+        return np.frombuffer(file.read(), np.uint64)

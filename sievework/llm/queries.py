@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_copies import exact_copies
 from .licenses import scan_licenses
 from .near_copies import near_copies
+from .ngram_lm import score_texts
 from .packing import pack
 from .pieces import encode_pieces
 from .quality import COUNTS, quality_rules
@@ -57,6 +58,10 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1)
 
 
+def op10_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_warc": op2_warc,
@@ -67,6 +72,7 @@ QUERIES = {
     "op7_exact_copies": op7_exact_copies,
     "op8_pieces": op8_pieces,
     "op9_packing": op9_packing,
+    "op10_ngram_lm": op10_ngram_lm,
 }
 
 ORACLES = {

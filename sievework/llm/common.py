@@ -30,7 +30,7 @@ def documents_of(df: DataFrame, id: str, text: str) -> DataFrame:
     return df.select(df[id].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"))
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, least: int = 10_000) -> DataFrame:
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, least: int = 1_000) -> DataFrame:
     """Inner join of ``rows`` with ``groups``, one row per ``key`` with its number of rows in ``size``.
 
     Groups of more than a 5,000th of all rows (there are fewer than 5,000 of them, so

@@ -34,6 +34,8 @@ REGISTERS = 192
 ROWS_PER_BAND = 6
 MANTISSA = 10
 DEVIATIONS = 5
+#: Texts that one copy of a band's first text is compared with.
+STAR_BLOCK = 128
 #: Texts of a cell: outside the largest component, and of the whole band.
 BLOCK, BAND_BLOCK = 1024, 1024
 WIDTH = 5
@@ -124,7 +126,7 @@ def star_pairs(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, list
 
     A pivot's pairs are dealt into blocks, each of which gets a copy of the pivot's columns.
     """
-    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(STAR_BLOCK)).cast("int").alias("blocks"))
     large = sizes.filter("blocks > 1")
     dealt = pairs.join(F.broadcast(large), "pivot", "left") if large.limit(100_001).count() <= 100_000 else pairs.join(large, "pivot", "left")
     dealt = dealt.select("pivot", "node", F.when(F.col("blocks").isNull(), 0).otherwise(

@@ -97,8 +97,7 @@ def emb_semantic_dedup(spark, d):
     return rounded(neardup.dedup_by_vector(embeddings(spark, d), "vec_id", "embedding", ["label"], 0.3))
 
 
-_SHORT = "concat(substr(text, 1, 200), ' ', chr(10), ' ', text)"
-_SETS = f"""select doc_id as id, lang, list_distinct({tokens(f"substr({_SHORT}, 1, 2000)")}) as w from documents"""
+_SETS = f"""select doc_id as id, lang, list_distinct({tokens("concat(lang, ' ', chr(10), ' ', text)")}) as w from documents"""
 
 
 @query(_greedy_sql("select doc_id as id from documents", f"""select id, other, c / (na + nb - c) as sim from (
@@ -106,7 +105,7 @@ _SETS = f"""select doc_id as id, lang, list_distinct({tokens(f"substr({_SHORT},
     from ({_SETS}) a join ({_SETS}) b on a.lang = b.lang and a.id < b.id and least(len(a.w), len(b.w)) > 0.5 * greatest(len(a.w), len(b.w)))
   where c / (na + nb - c) > 0.5"""))
 def jaccard_dedup(spark, d):
-    rows = table(spark, d, "documents").withColumn("pair", neardup.pair_text(F.substring("text", 1, 200), F.col("text")))
+    rows = table(spark, d, "documents").withColumn("pair", neardup.pair_text(F.col("lang"), F.col("text")))
     return rounded(neardup.dedup_by_tokens(rows, "doc_id", "pair", ["lang"], 0.5))
 
 

@@ -26,11 +26,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.text import tokens
 from ..session import checkpointed
 from .cells import BLOCK_ROWS, block_count, dense, each_cell, into_cells, run_cells, sides, sparse
+from .grouping import join_groups
 
 LISTED = 8
-FEW_ROWS = 16
 LIST_SCHEMA = "id long, other long, sim double, cut boolean"
-IN_ONE_TASK = 200_000
 
 
 def _neighbour_lists(similar: Callable, threshold: float, listed: int) -> Callable:
@@ -73,103 +72,52 @@ def _neighbour_lists(similar: Callable, threshold: float, listed: int) -> Callab
     return work
 
 
-def _token_lists(similar: Callable, threshold: float, listed: int) -> Callable:
-    """The same for token sets, where most cells hold a handful of rows: those are
-    compared set by set, larger ones as a matrix."""
-    matrix_work = _neighbour_lists(similar, threshold, listed)
-
-    def work(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-        ids, sizes, asks, stands = (table[c].to_pylist() for c in ("id", "n", "asks", "stands"))
-        whole = np.logical_and(table["_low"].to_numpy(), table["_high"].to_numpy())
-        found: list[tuple[int, int, float, bool]] = []
-        column = table["set"]
-        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            if end - start > FEW_ROWS or not whole[start:end].all():
-                yield from matrix_work(table.slice(start, end - start))
-                continue
-            if end - start < 2:
-                continue
-            sets = [frozenset(column[i].values.to_numpy().tolist()) for i in range(start, end)]
-            for x in range(end - start):
-                for y in range(x):
-                    j, i = (start + x, start + y) if ids[start + x] > ids[start + y] else (start + y, start + x)
-                    low, high = sorted((sizes[i], sizes[j]))
-                    if asks[j] and stands[i] and low > threshold * high:
-                        both = len(sets[x] & sets[y])
-                        sim = both / (low + high - both)
-                        if sim > threshold:
-                            found.append((ids[j], ids[i], sim, False))
-        if found:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in zip(*found)], names=["id", "other", "sim", "cut"])
+def _settle(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rounds over the neighbour lists: ``id, kept`` of the settled rows, and the ``id`` of rows whose cut lists leave them open.
 
-    return work
+    A round looks only at what the one before it settled and passes on the
+    neighbours that are still open, so the tables shrink and nothing is written twice.
+    """
+    whole = lists.join(lists.groupBy("id").agg(F.bool_or("cut").alias("_cut")), "id")
+    waiting = checkpointed(whole.select("id", "other", F.col("_cut").alias("cut")))
+    heads = waiting.select(F.col("other").alias("id")).distinct().join(waiting.select("id").distinct(), "id", "left_anti")
+    last = checkpointed(heads.withColumn("kept", F.lit(True)))
+    rounds = [last]
+    while not waiting.isEmpty():
+        met = waiting.join(last.select(F.col("id").alias("other"), F.col("kept").alias("_kept")), "other", "left")
+        votes = met.groupBy("id").agg(
+            F.coalesce(F.bool_or("_kept"), F.lit(False)).alias("has_kept"), F.count_if(F.col("_kept").isNull()).alias("left"), F.first("cut").alias("cut"))
+        decided = votes.filter("has_kept or left = 0").select("id", F.when(F.col("has_kept"), False).when(~F.col("cut"), True).alias("kept"))
+        settled = checkpointed(decided)
+        going = met.filter("_kept is null").select("id", "other", "cut")
+        waiting = checkpointed(going.join(settled.select("id"), "id", "left_anti"))
+        if settled.isEmpty():  # what is left waits for rows that are open themselves
+            rounds.append(waiting.select("id").distinct().withColumn("kept", F.lit(None).cast("boolean")))
+            break
+        rounds.append(settled)
+        last = settled.filter("kept is not null")
+    every = rounds[0]
+    for r in rounds[1:]:
+        every = every.unionByName(r)
+    every = checkpointed(every)
+    return every.filter("kept is not null"), every.filter("kept is null").select("id")
 
 
-def _settle(lists: DataFrame) -> DataFrame:
-    """Rounds over the neighbour lists: ``id, kept``; ``kept`` is null for rows
-    whose cut lists leave them open."""
-    heads = lists.select(F.col("other").alias("id")).distinct().join(lists.select("id").distinct(), "id", "left_anti")
-    decided = checkpointed(heads.withColumn("kept", F.lit(True)))
-    waiting = lists
-    while True:
-        known = decided.select(F.col("id").alias("other"), F.col("kept").alias("other_kept"))
-        fallen = F.coalesce(~F.col("other_kept"), F.lit(False))
-        votes = waiting.join(known, "other", "left").groupBy("id").agg(
-            F.coalesce(F.bool_or("other_kept"), F.lit(False)).alias("has_kept"),
-            F.bool_and(fallen).alias("all_fallen"),
-            F.bool_or("cut").alias("cut"),
-        )
-        settled = checkpointed(votes.filter("has_kept or (all_fallen and not cut)").select(
-            "id", (~F.col("has_kept")).alias("kept")))
-        if settled.isEmpty():
-            rest = waiting.select("id").distinct().withColumn("kept", F.lit(None).cast("boolean"))
-            return checkpointed(decided.unionByName(rest))
-        decided = checkpointed(decided.unionByName(settled))
-        waiting = checkpointed(waiting.join(settled.select("id"), "id", "left_anti"))
-
-
-def _settle_here(table: Iterator) -> Iterator:
-    """The same on a list short enough for one task, in id order."""
-    import pandas as pd
-
-    parts = list(table)
-    if not parts:
-        return
-    lists = pd.concat(parts).sort_values(["id", "other"])
-    kept: dict[int, bool | None] = {i: True for i in set(lists["other"]) - set(lists["id"])}
-    for id, rows in lists.groupby("id", sort=True):
-        states = [kept[o] for o in rows["other"]]
-        if True in states:
-            kept[id] = False
-        elif None in states or rows["cut"].any():
-            kept[id] = None
-        else:
-            kept[id] = True
-    yield pd.DataFrame({"id": list(kept), "kept": pd.array(list(kept.values()), dtype="boolean")})
-
-
-def _greedy(scan: Callable[[DataFrame | None, DataFrame | None], DataFrame], in_one_task: int) -> DataFrame:
+def _greedy(scan: Callable[[DataFrame | None, DataFrame | None], DataFrame]) -> DataFrame:
     """``id, vs, sim`` of the dropped rows. ``scan(asking, fallen)`` lists earlier
     neighbours of the asking rows among those not fallen."""
     lists = checkpointed(scan(None, None))
     extra = lists
     while True:
-        if lists.count() <= in_one_task:
-            state = checkpointed(lists.coalesce(1).mapInPandas(_settle_here, "id long, kept boolean"))
-        else:
-            state = _settle(lists)
-        open_rows = state.filter("kept is null").select("id")
+        state, open_rows = _settle(lists)
         if open_rows.isEmpty():
             break
         # List the open rows again, now without the rows known to be dropped.
-        fallen = state.filter("kept = false").select("id")
-        more = checkpointed(scan(open_rows, fallen))
-        extra = checkpointed(extra.unionByName(more))
-        standing = lists.join(open_rows, "id", "left_anti")
-        lists = checkpointed(standing.unionByName(more))
+        more = checkpointed(scan(open_rows, state.filter("not kept").select("id")))
+        extra = extra.unionByName(more)
+        lists = checkpointed(lists.join(open_rows, "id", "left_anti").unionByName(more))
     kept = state.filter("kept").select(F.col("id").alias("other"), F.lit(True).alias("_kept"))
-    fallen = state.filter("kept = false").select("id")
+    fallen = state.filter("not kept").select("id")
     found = extra.join(fallen, "id").join(kept, "other", "left")
     standing_other = F.when(F.col("_kept"), F.col("other"))
     best = found.groupBy("id").agg(
@@ -198,21 +146,26 @@ def _with_copies(dropped: DataFrame, copies: DataFrame, self_sim: Column) -> Dat
     )
 
 
-def _scanner(rows: DataFrame, to_cells: Callable[[DataFrame], DataFrame], work: Callable) -> Callable:
+def _scanner(rows: DataFrame, to_cells: Callable[[DataFrame, bool], DataFrame], work: Callable) -> Callable:
     def scan(asking: DataFrame | None, fallen: DataFrame | None) -> DataFrame:
-        flagged = rows
         if asking is None:
-            flagged = flagged.withColumn("asks", F.lit(True)).withColumn("stands", F.lit(True))
-        else:
-            flagged = flagged.join(asking.withColumn("asks", F.lit(True)), "id", "left")
-            flagged = flagged.join(fallen.withColumn("stands", F.lit(False)), "id", "left")
-            flagged = flagged.na.fill({"asks": False}).withColumn("stands", F.coalesce("stands", F.lit(True)))
-        return run_cells(to_cells(flagged), work, LIST_SCHEMA).groupBy("id", "other").agg(
+            flagged = rows.withColumn("asks", F.lit(True)).withColumn("stands", F.lit(True))
+        else:  # rows that were dropped stay away, and so do buckets in which no row asks
+            standing = rows.join(fallen, "id", "left_anti").withColumn("stands", F.lit(True))
+            asked = rows.join(asking, "id", "left_semi").select("id", F.lit(True).alias("asks"))
+            flagged = standing.join(asked, "id", "left").na.fill({"asks": False}).unionByName(
+                rows.join(fallen, "id", "left_semi").join(asked, "id").withColumn("stands", F.lit(False)))
+        return run_cells(to_cells(flagged, asking is not None), each_cell(work), LIST_SCHEMA).groupBy("id", "other").agg(
             F.max("sim").alias("sim"), F.bool_or("cut").alias("cut"))
 
     return scan
 
 
+def _asked(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the buckets in which a row asks."""
+    return placed.join(placed.filter("asks").select(*keys).distinct(), list(keys), "left_semi")
+
+
 def _buckets(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Bucket columns as strings under names of their own; null counts as ``?``."""
     keys = [f"_key{i}" for i in range(len(by))]
@@ -225,27 +178,33 @@ def _form(values: Column) -> Column:
     return F.concat_ws("-", F.xxhash64(values), F.xxhash64(F.lit(1), values))
 
 
+def _first_of_equals(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Adds ``_first``, the least id of the rows equal in bucket and form; a form that many rows have is met where they lie."""
+    keys = [*by, "_form"]
+    firsts = rows.groupBy(*keys).agg(F.min("id").alias("_first"), F.count("*").alias("_n"))
+    return checkpointed(join_groups(rows, firsts, keys, "_n", rows.count()).select("id", "_first", *by, value))
+
+
 def dedup_by_vector(
-    df: DataFrame, id: str, vector: str, by: Sequence[str], threshold: float = 0.88,
-    block_rows: int = BLOCK_ROWS, listed: int = LISTED, in_one_task: int = IN_ONE_TASK,
+    df: DataFrame, id: str, vector: str, by: Sequence[str], threshold: float = 0.88, block_rows: int = BLOCK_ROWS, listed: int = LISTED,
 ) -> DataFrame:
     """Keep-first by cosine of unit vectors inside buckets ``by``."""
     rows, by = _buckets(df, by)
     rows = rows.select(F.col(id).cast("long").alias("id"), *by, F.col(vector).alias("vector"))
-    rows = rows.select("id", *by, "vector", _form(F.col("vector")).alias("_form"))
-    firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
-    copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "vector"))
+    copies = _first_of_equals(checkpointed(rows.select("id", *by, "vector", _form(F.col("vector")).alias("_form"))), by, "vector")
     unique = copies.filter("id = _first").drop("_first")
-    sizes = unique.groupBy(*by).agg(block_count(F.count("*"), block_rows).alias("_blocks"))
+    sizes = unique.groupBy(*by).agg(F.count("*").alias("_n"), block_count(F.count("*"), block_rows).alias("_blocks"))
+    total = unique.count()
 
     def similar(table: pa.Table) -> Callable:
         matrix = dense(table, "vector")
         return lambda a, b: matrix[a] @ matrix[b].T
 
-    def to_cells(flagged: DataFrame) -> DataFrame:
-        return into_cells(flagged.join(sizes, list(by)), by, "_blocks", "id")
+    def to_cells(flagged: DataFrame, some: bool) -> DataFrame:
+        placed = join_groups(flagged, sizes, by, "_n", total).drop("_n")
+        return into_cells(_asked(placed, by) if some else placed, by, "_blocks", "id")
 
-    dropped = _greedy(_scanner(unique, to_cells, each_cell(_neighbour_lists(similar, threshold, listed))), in_one_task)
+    dropped = _greedy(_scanner(unique, to_cells, _neighbour_lists(similar, threshold, listed)))
     size = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return _with_copies(dropped, copies.withColumn("_size", size), F.col("_size"))
 
@@ -257,38 +216,44 @@ def prefix_length(size: Column, threshold: float) -> Column:
 
 
 def dedup_by_tokens(
-    df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn",
-    block_rows: int = 512, listed: int = LISTED, in_one_task: int = IN_ONE_TASK,
+    df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn", block_rows: int = 512, listed: int = LISTED,
 ) -> DataFrame:
     """Keep-first by Jaccard of token sets inside buckets ``by``.
 
-    Sets meet only in the buckets of their rarest tokens, a filter that loses no
-    pair above the threshold; a bucket too large for one cell is cut into blocks.
+    Sets meet only in the buckets of their rarest tokens and of a band of sizes:
+    of two sets similar beyond the threshold the larger has fewer than ``1 / t``
+    times the tokens of the smaller, so it lies in the band of the smaller or in
+    the next, and a set goes to its own and the next. No pair above the threshold is lost. Blocks
+    are counted by the sets that come to a bucket, and a bucket of one set is no bucket.
     """
     words = F.sort_array(F.array_distinct(tokens(text, kind)))
     rows, by = _buckets(df, by)
     rows = rows.select(F.col(id).cast("long").alias("id"), *by, words.alias("words"))
     rows = rows.withColumn("_form", F.when(F.size("words") > 0, _form(F.col("words"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    firsts = rows.groupBy(*by, "_form").agg(F.min("id").alias("_first"))
-    copies = checkpointed(rows.join(firsts, [*by, "_form"]).select("id", "_first", *by, "words"))
+    copies = _first_of_equals(checkpointed(rows), by, "words")
     unique = copies.filter("id = _first").drop("_first")
 
     spread = unique.select("id", *by, F.size("words").alias("n"), F.explode("words").alias("word"))
     counts = spread.groupBy(*by, "word").agg(F.count("*").alias("df"))
-    ordered = (
-        spread.join(counts, [*by, "word"]).groupBy("id", *by)
-        .agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "word"))).alias("w"))
-    )
-    sets = checkpointed(ordered.select("id", *by, "n", "w"))
-
-    def to_cells(flagged: DataFrame) -> DataFrame:
-        prefix = F.slice("w", F.lit(1), prefix_length(F.col("n"), threshold))
-        met = flagged.withColumn("p", F.explode(F.filter(prefix, lambda x: x["df"] > 1)))
-        placed = met.select(
-            "id", "asks", "stands", *by, F.col("p.word").alias("word"), "n",
-            F.transform("w", lambda x: F.xxhash64(x["word"])).alias("set"),
-            block_count(F.col("p.df"), block_rows).alias("_blocks"))
-        return into_cells(placed, [*by, "word"], "_blocks", "id")
+    total = unique.agg(F.sum(F.size("words"))).first()[0] or 0
+    ordered = join_groups(spread, counts, [*by, "word"], "df", total).groupBy("id", *by).agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "word"))).alias("w"))
+    prefix = F.slice("w", F.lit(1), prefix_length(F.col("n"), threshold))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int") if 0 < threshold < 1 else F.lit(0)
+    sets = checkpointed(ordered.select(
+        "id", *by, "n", band.alias("size"), F.transform(F.filter(prefix, lambda x: x["df"] > 1), lambda x: x["word"]).alias("rare"),
+        F.transform("w", lambda x: F.xxhash64(x["word"])).alias("set")))
+
+    keys = [*by, "word", "band"]
+    spots = sets.select("id", *by, F.explode("rare").alias("word"), "size").select(
+        "id", *by, "word", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("band"))
+    crowded = checkpointed(spots.groupBy(*keys).agg(F.count("*").alias("_n"), block_count(F.count("*"), block_rows).alias("_blocks")).filter("_n > 1"))
+    placed_sets = checkpointed(join_groups(checkpointed(spots), crowded, keys, "_n", 2 * total).drop("_n"))
+
+    def to_cells(flagged: DataFrame, some: bool) -> DataFrame:
+        placed = placed_sets.join(flagged.select("id", "asks", "stands", "n", "size", "set"), "id")
+        cells = into_cells(_asked(placed, keys) if some else placed, keys, "_blocks", "id")
+        return cells.select("_cell", "_low", "_high", "id", "asks", "stands", "n", "set")
 
     def similar(table: pa.Table) -> Callable:
         matrix, size = sparse(table, "set"), table["n"].to_numpy().astype(np.float64)
@@ -299,13 +264,14 @@ def dedup_by_tokens(
 
         return score
 
-    dropped = _greedy(_scanner(sets, to_cells, _token_lists(similar, threshold, listed)), in_one_task)
+    dropped = _greedy(_scanner(sets, to_cells, _neighbour_lists(similar, threshold, listed)))
     return _with_copies(dropped, copies, F.lit(1.0))
 
 
-def pair_text(user: Column, assistant: Column, width: int = 2000) -> Column:
-    """What meaning-based deduplication compares."""
-    return F.substring(F.concat(user, F.lit(" \n "), assistant), 1, width)
+def pair_text(user: Column, assistant: Column, width: int | None = None) -> Column:
+    """What meaning-based deduplication compares: both whole texts, or their first ``width`` characters."""
+    both = F.concat(user, F.lit(" \n "), assistant)
+    return both if width is None else F.substring(both, 1, width)
 
 
 def reason(vs: Column, sim: Column) -> Column:

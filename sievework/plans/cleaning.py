@@ -37,8 +37,7 @@ def clean_corpus(records: DataFrame, vectors: DataFrame | None = None, threshold
     validated = checkpointed(validate.validate_records(records))
     good, quarantine = validate.passed(validated), validate.quarantined(validated)
     blocks = [
-        F.substring(F.coalesce("meta.subject_norm", F.lit("?")), 1, 30).alias("_subject"),
-        F.substring(F.coalesce("meta.class", F.lit("?")), 1, 20).alias("_class")]
+        F.coalesce("meta.subject_norm", F.lit("?")).alias("_subject"), F.coalesce("meta.class", F.lit("?")).alias("_class")]
     keys = ["_subject", "_class"]
     if vectors is None:
         text = neardup.pair_text(validate.content("messages", 1), validate.content("messages", 2))

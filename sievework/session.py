@@ -1,7 +1,8 @@
-"""Session settings and reliable checkpoints."""
+"""Session settings and tables that cut lineage."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -17,6 +18,8 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.files.openCostInBytes", "256k")
+        .config("spark.sql.files.minPartitionNum", str(cores))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -27,31 +30,45 @@ def local_session(cores: int = 8, partitions: int = 8) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; a private
-    folder is made only where that is unset, which is the case in local tests.
+    The cluster names a shared folder in ``spark.checkpoint.dir``; without one, a
+    private folder is made for a local master and any other is an error, as
+    executors would not see the driver's disk.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.split("[")[0] == "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; it goes when the driver's process ends."""
+    folder = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    atexit.register(drop_folder, spark, folder)
+    return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` through the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of the shared one, if the session still runs."""
+    context = spark.sparkContext
+    if context._jsc is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of an input too small to occupy the cluster over its cores.
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared folder and read it back.
 
-    An input with as many splits as cores, as any large one has, stays as it is.
+    Cuts the lineage and survives the loss of any executor; unlike
+    ``checkpoint()`` the last stage runs once.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` through the shared folder."""
+    return landed(df, "table")

@@ -37,17 +37,16 @@ def clustered(n, seed, spread):
     return [(int(i), f"b{int(b)}", v[k].tolist()) for k, (i, b) in enumerate(zip(rng.permutation(n), rng.integers(0, 2, n)))]
 
 
-@pytest.mark.parametrize("spread, block_rows, listed, in_one_task", [
-    (0.3, 2048, 8, 200_000),
-    (0.5, 16, 8, 0),      # many blocks, rounds over the lists
-    (0.5, 16, 1, 0),      # every list cut: rows are listed again
-    (0.9, 32, 2, 0),
-    (0.5, 16, 1, 200_000),
+@pytest.mark.parametrize("spread, block_rows, listed", [
+    (0.3, 2048, 8),
+    (0.5, 16, 8),      # many blocks, rounds over the lists
+    (0.5, 16, 1),      # every list cut: rows are listed again
+    (0.9, 32, 2),
 ])
-def test_vectors(spark, spread, block_rows, listed, in_one_task):
+def test_vectors(spark, spread, block_rows, listed):
     rows = clustered(160, 7, spread)
     df = spark.createDataFrame(rows, "id long, block string, v array<double>")
-    got = verdicts(neardup.dedup_by_vector(df, "id", "v", ["block"], 0.88, block_rows, listed, in_one_task))
+    got = verdicts(neardup.dedup_by_vector(df, "id", "v", ["block"], 0.88, block_rows, listed))
     want = walk(rows, lambda a, b: float(np.dot(a, b)), 0.88)
     assert got == want
     assert 0 < sum(not k for k, _ in want.values()) < len(rows)
@@ -58,8 +57,8 @@ def jaccard(a, b):
     return len(x & y) / max(1, len(x | y))
 
 
-@pytest.mark.parametrize("block_rows, listed, in_one_task", [(512, 8, 200_000), (8, 2, 0), (20, 1, 0)])
-def test_token_sets(spark, block_rows, listed, in_one_task):
+@pytest.mark.parametrize("block_rows, listed", [(512, 8), (8, 2), (20, 1)])
+def test_token_sets(spark, block_rows, listed):
     rng = np.random.default_rng(3)
     bases = [" ".join(f"w{t}" for t in rng.choice(60, 14, replace=False)) for _ in range(8)]
     rows = []
@@ -70,7 +69,7 @@ def test_token_sets(spark, block_rows, listed, in_one_task):
         rows.append((i, f"b{i % 2}", " ".join(words)))
     rows += [(200, "b0", ""), (201, "b0", "!"), (202, None, rows[0][2])]
     df = spark.createDataFrame(rows, "id long, block string, text string")
-    got = verdicts(neardup.dedup_by_tokens(df, "id", "text", ["block"], 0.6, "word", block_rows, listed, in_one_task))
+    got = verdicts(neardup.dedup_by_tokens(df, "id", "text", ["block"], 0.6, "word", block_rows, listed))
     cleaned = [(i, b or "?", t.replace("!", "")) for i, b, t in rows]
     assert got == walk(cleaned, jaccard, 0.6)
 

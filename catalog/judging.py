@@ -251,13 +251,13 @@ def winners(spark, d):
     return rounded(rows.withColumn("delta", delta).withColumn("winner", scores.winner(delta)))
 
 
-@query(f"""with a as (select doc_id, concat('চূড়ান্ত উত্তর: ', doc_id % 6, chr(10), text) as p, concat(substr(text, 1, 20), ' ', '৩') as g from documents order by doc_id limit 60)
+@query(f"""with a as (select doc_id, concat('চূড়ান্ত উত্তর: ', doc_id % 6, chr(10), text) as p, concat(text, ' ', '৩') as g from documents)
   select count(*) as rows, count(*) filter ((doc_id % 6)::varchar = regexp_extract({fold(strip(first_line('g')))}, '-?[0-9]+\\.?[0-9]*')
     or (regexp_extract({fold(strip(first_line('g')))}, '-?[0-9]+\\.?[0-9]*') = '' and false)) as correct,
     round(avg(((doc_id % 6)::varchar = regexp_extract({fold(strip(first_line('g')))}, '-?[0-9]+\\.?[0-9]*'))::int), 6) as accuracy from a""")
 def final_accuracy(spark, d):
     rows = table(spark, d, "documents").select(
-        "doc_id", F.expr("concat('চূড়ান্ত উত্তর: ', doc_id % 6, chr(10), text)").alias("p"), F.expr("concat(substr(text, 1, 20), ' ', '৩')").alias("g"))
+        "doc_id", F.expr("concat('চূড়ান্ত উত্তর: ', doc_id % 6, chr(10), text)").alias("p"), F.expr("concat(text, ' ', '৩')").alias("g"))
     return rounded(verdicts.final_answer_accuracy(rows, "p", "g", "doc_id"))
 
 
@@ -278,14 +278,14 @@ def vector_f1(spark, d):
 
 def parsed(spark, d):
     return table(spark, d, "documents").select(
-        F.col("doc_id").alias("row_id"), F.concat(F.lit("জেলা: "), "source").alias("context"), F.substring("text", 1, 60).alias("question"),
+        F.col("doc_id").alias("row_id"), F.concat(F.lit("জেলা: "), "source").alias("context"), F.col("text").alias("question"),
         F.col("text").alias("answer"), F.when(F.col("doc_id") % 6 == 0, "unbalanced dollar math delimiter").otherwise("").alias("text_quality_issues"),
         F.expr("case when doc_id % 10 = 3 then 'missing user question' else '' end").alias("schema_issues"),
         (F.col("doc_id") % 10 != 3).alias("schema_valid"))
 
 
-_ITEM = """chr(10) || 'ID:' || doc_id || chr(10) || 'C:জেলা: ' || source || chr(10) || 'Q:' || substr(text, 1, 60) || chr(10) || 'A:' || text || chr(10)
-  || 'PREVALIDATION:' || case when doc_id % 6 = 0 then 'unbalanced dollar math delimiter' else 'none' end || chr(10)"""
+_ITEM = """chr(10) || '## item ' || doc_id || chr(10) || 'context: জেলা: ' || source || chr(10) || 'question: ' || text || chr(10) || 'answer: ' || text || chr(10)
+  || 'known faults: ' || case when doc_id % 6 = 0 then 'unbalanced dollar math delimiter' else 'none' end || chr(10)"""
 _BATCHES = f"""with i as (select doc_id, {_ITEM} as item, (row_number() over (order by doc_id) - 1) // 4 as batch from documents),
   b as (select batch, {quoted(requests.INSTRUCTION)} || string_agg(item, '' order by doc_id) as prompt, string_agg(doc_id::varchar, ',' order by doc_id) as ids
     from i group by batch)"""
@@ -322,11 +322,11 @@ _REPLY = """concat('{"results": [{"id": ', case when doc_id % 19 = 1 then doc_id
 
 @query("""with r as (select doc_id, case when doc_id % 19 = 1 then doc_id + 1 else doc_id end as id, greatest(0, least(4, doc_id % 7 - 1))::int as g,
     (doc_id % 5)::int as f, (doc_id % 4)::int as r, case when doc_id % 23 in (2, 3) then null else 4 end::int as i, 3 as b, 'r' || doc_id as reason from documents)
-  select doc_id, id, g, f, r, i, b, reason, case when doc_id % 29 = 5 then 'results is not a list'
-    when doc_id % 17 = 4 and id = doc_id then 'duplicate result ID: ' || doc_id
-    when doc_id % 17 = 4 then 'ID mismatch | missing=[] extra=[' || id || ']'
-    when id <> doc_id then 'ID mismatch | missing=[' || doc_id || '] extra=[' || id || ']'
-    when i is null then 'invalid score returned for ID ' || id end as error
+  select doc_id, id, g, f, r, i, b, reason, case when doc_id % 29 = 5 then 'no list of results'
+    when doc_id % 17 = 4 and id = doc_id then 'scored twice: ' || doc_id
+    when doc_id % 17 = 4 then 'other ids than asked: missing [] extra [' || id || ']'
+    when id <> doc_id then 'other ids than asked: missing [' || doc_id || '] extra [' || id || ']'
+    when i is null then 'unusable score of ' || id end as error
   from r""".replace("select doc_id, id, g, f, r, i, b, reason, case", "select doc_id, " + ", ".join(
       f"case when doc_id % 29 <> 5 then {c} end as {c}" for c in ("id", "g", "f", "r", "i", "b", "reason")) + ", case"))
 def verdict_parse(spark, d):
@@ -344,7 +344,7 @@ _SINGLE = """concat('{"groundedness": ', case when doc_id % 5 = 0 then 3 else 4
 @query("""with r as (select doc_id, case when doc_id % 5 = 0 then 3 else 4 end as groundedness, case when doc_id % 11 in (1, 2, 3) then null else 4 end as hallucination,
     case when doc_id % 5 = 0 and doc_id % 3 > 0 or doc_id % 13 = 0 then 'why' else '' end as reason from documents)
   select doc_id, groundedness, hallucination, reason, round((groundedness + hallucination + 16) / 6, 2) as final_score,
-    case when hallucination is null then 'Invalid hallucination' when (groundedness = 4) <> (reason = '') then 'Reason-rule violation' end as violation from r""")
+    case when hallucination is null then 'unusable hallucination' when (groundedness = 4) <> (reason = '') then 'reason and scores disagree' end as violation from r""")
 def verdict_accept(spark, d):
     replies = documents(spark, d, reply=_SINGLE).select("doc_id", "reply")
     return verdicts.accept_single(replies).select("doc_id", "groundedness", "hallucination", "reason", "final_score", "violation")
@@ -389,7 +389,7 @@ def final(spark, d):
 
 
 _FINAL = _VERDICT + f""", p as (select doc_id as row_id, doc_id % 10 <> 3 as schema_valid, case when doc_id % 10 = 3 then 'missing user question' else '' end as schema_issues,
-    case when doc_id % 6 = 0 then 'unbalanced dollar math delimiter' else '' end as text_quality_issues, substr(text, 1, 60) as question, text as answer,
+    case when doc_id % 6 = 0 then 'unbalanced dollar math delimiter' else '' end as text_quality_issues, text as question, text as answer,
     'জেলা: ' || source as context from documents),
   r as (select row_id, {', '.join(verdicts.FIVE)}, overall_score, passed, 'ok' as reason from v where row_id % 10 <> 3 and row_id % 14 <> 1
     union all select row_id, null, null, null, null, null, null, false, 'schema_failed' from p where not schema_valid),
@@ -478,7 +478,7 @@ def scoring_adapter(spark, d):
 
 @query()
 def kmeans_report(spark, d):
-    return rounded(cluster.kmeans_report(table(spark, d, "embeddings"), "vec_id", "embedding", restarts=2))
+    return rounded(cluster.kmeans_report(table(spark, d, "embeddings"), "vec_id", "embedding"))
 
 
 @query()

@@ -129,9 +129,9 @@ def tfidf_pair_stats(spark, d):
     return rounded(tf.tfidf_pair_stats(table(spark, d, "benchmark"), "text", "item_id"))
 
 
-@query(f"with {_tfidf_sql('documents', 'doc_id', 'term2', 2000)} select {_STATS} from p")
+@query(f"with {_tfidf_sql('documents', 'doc_id', 'term2', 10000)} select {_STATS} from p")
 def tfidf_documents(spark, d):
-    return rounded(tf.tfidf_pair_stats(table(spark, d, "documents"), "text", "doc_id", kind="term2", most=2000))
+    return rounded(tf.tfidf_pair_stats(table(spark, d, "documents"), "text", "doc_id", kind="term2"))
 
 
 @query(f"with {_tfidf_sql('documents', 'doc_id', 'term', 10000)} select count(*) as n_pairs, round((select (power(sum(s), 1) - max(q)) from "
@@ -141,11 +141,11 @@ def tfidf_mean(spark, d):
     return rounded(tf.tfidf_mean_cosine(rows))
 
 
-@query("with " + _tfidf_sql("documents", "doc_id", "term", 300).replace("as id, ", "as id, lang, ", 1).replace("unnest(w)", "lang, unnest(w)").replace(
+@query("with " + _tfidf_sql("documents", "doc_id", "term", 10000).replace("as id, ", "as id, lang, ", 1).replace("unnest(w)", "lang, unnest(w)").replace(
     "select id, t, t ||", "select id, lang, t, t ||").replace("select id, t as term", "select id, lang, t as term").replace("select id, tt", "select id, lang, tt").replace(
     "select id, term, count(*)", "select id, lang, term, count(*)").replace("select term, sum(tf) as cf, ln((1 + (select count(*) from f))",
-    "select lang, term, sum(tf) as cf, ln((1 + (select count(*) from f f2 where f2.lang = c.lang))").replace("group by term order by cf desc, term limit 300",
-    "group by lang, term qualify row_number() over (partition by lang order by cf desc, term) <= 300").replace("using (term)", "using (lang, term)").replace(
+    "select lang, term, sum(tf) as cf, ln((1 + (select count(*) from f f2 where f2.lang = c.lang))").replace("group by term order by cf desc, term limit 10000",
+    "group by lang, term qualify row_number() over (partition by lang order by cf desc, term) <= 10000").replace("using (term)", "using (lang, term)").replace(
     "a.id < b.id left", "a.id < b.id and a.lang = b.lang left").replace("coalesce(s, 0)) as s", "coalesce(s, 0)) as s, a.lang") + f" select lang, {_STATS} from p group by lang")
 def tfidf_by_lang(spark, d):
-    return rounded(tf.tfidf_pair_stats(table(spark, d, "documents"), "text", "doc_id", ["lang"], most=300))
+    return rounded(tf.tfidf_pair_stats(table(spark, d, "documents"), "text", "doc_id", ["lang"]))

@@ -183,6 +183,82 @@ def jsonl_lines(spark, d):
     ).withColumn("n", F.when(F.col("fault").isNull(), F.col("n")))
 
 
+# ---- files that Spark writes and reads back -----------------------------------------
+
+_KIND = "doc_id % 16"
+
+
+def line_files(spark, d):
+    """The documents as JSON Lines in id order, one line in 16 of each fault; the folder."""
+    docs = table(spark, d, "documents")
+    turns = F.array(*[F.struct(F.lit(r).alias("role"), F.col("text").alias("content")) for r in validate.ROLES])
+    lines = docs.select("doc_id", "text", F.to_json(F.struct(turns.alias("messages"), F.col("lang").alias("band"))).alias("good")).select("doc_id", F.expr(f"""
+        case {_KIND} when 0 then concat(good, ' trailing') when 1 then concat(good, ' ', good) when 2 then "{{'messages': []}}" when 3 then '   '
+        when 4 then 'not json' when 5 then '["a"]' when 6 then '{{"band": "x"}}' when 7 then '{{"messages": "text"}}' when 8 then concat(good, ',')
+        when 9 then '{{"messages": [{{"role": "user", "content": "one"}}]}}' else concat('  ', good, ' ') end""").alias("value"))
+    folder = f"{new_folder(spark, 'lines')}/lines"
+    lines.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(folder)
+    return folder
+
+
+_BAD = f"{_KIND} in (0, 1, 2, 4, 8)"
+
+
+@query(f"""select doc_id as id, case when {_BAD} then 'schema: json_decode_error' when {_KIND} in (5, 6) then 'schema: root object missing messages array'
+    when {_KIND} = 7 then 'schema: messages needs at least 3 items' end as load_issue, case when {_KIND} = 9 then 1 when {_KIND} > 9 then 3 end as n,
+    case when {_KIND} > 9 then text end as user_text from documents where {_KIND} <> 3""")
+def lines_quarantine(spark, d):
+    rows = readers.read_jsonl_quarantine(spark, line_files(spark, d))
+    return rows.select("id", "load_issue", F.when(F.col("messages").isNotNull(), F.size("messages")).alias("n"), F.get("messages", F.lit(1))["content"].alias("user_text"))
+
+
+@query(f"""select doc_id as id, lang as band, text as user_text from documents where {_KIND} > 9""")
+def lines_chat(spark, d):
+    rows = readers.read_chat_jsonl(spark, line_files(spark, d))
+    return rows.select("id", "band", F.get("messages", F.lit(1))["content"].alias("user_text"))
+
+
+@query(f"""select row_number() over (order by doc_id) - 1 as row_id, case when {_BAD} then concat('Invalid JSONL at line ', doc_id + 1)
+    when {_KIND} = 5 then 'row is not a JSON object' when {_KIND} in (6, 7) then 'messages is missing or not a list' end as load_issue
+    from documents where {_KIND} <> 3""")
+def lines_error_rows(spark, d):
+    return readers.read_jsonl_with_error_rows(spark, line_files(spark, d)).select("row_id", "load_issue")
+
+
+@query("select doc_id, text, lang, case when doc_id % 3 > 0 then source end as source, doc_id % 5 as part from documents")
+def jsonl_pooled(spark, d):
+    """Flat records written by the JSON Lines writer in several folders and pooled."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", F.expr("case when doc_id % 3 > 0 then source end").alias("source"), F.expr("doc_id % 5").alias("part"))
+    base = new_folder(spark, "pool")
+    for k in range(2):
+        writers.write_jsonl(docs.filter(F.col("doc_id") % 2 == k), f"{base}/{k}")
+    return readers.read_flat_jsonl(spark, [f"{base}/0", f"{base}/1"], "doc_id long, text string, lang string, source string, part long")
+
+
+@query("select doc_id as id, text as user_text from documents")
+def json_objects(spark, d):
+    """Records as .json files that each hold one list."""
+    docs = table(spark, d, "documents")
+    turns = F.array(*[F.struct(F.lit(r).alias("role"), F.col("text").alias("content")) for r in validate.ROLES])
+    rows = docs.select(F.struct(turns.alias("messages"), F.col("doc_id").cast("string").alias("topic")).alias("r"), F.floor(F.col("doc_id") / 50).alias("g"))
+    base = new_folder(spark, "objects")
+    rows.groupBy("g").agg(F.to_json(F.collect_list("r")).alias("value")).select("value").write.option("lineSep", "\n\n").text(base)
+    lists = spark.read.text(base, wholetext=False).filter("value <> ''")
+    folder = new_folder(spark, "lists")
+    lists.repartition(F.xxhash64("value")).write.option("maxRecordsPerFile", 1).text(folder + "/lists.json")
+    found = readers.read_json(spark, folder + "/lists.json")
+    return found.select(F.col("topic").cast("long").alias("id"), F.get("messages", F.lit(1))["content"].alias("user_text"))
+
+
+@query("""select doc_id, concat('a "quoted", ', text, chr(10), 'next') as s, case when doc_id % 4 > 0 then lang end as lang from documents""")
+def csv_round_trip(spark, d):
+    docs = table(spark, d, "documents").select(
+        "doc_id", F.concat(F.lit('a "quoted", '), "text", F.lit("\nnext")).alias("s"), F.expr("case when doc_id % 4 > 0 then lang end").alias("lang"))
+    folder = new_folder(spark, "csv")
+    writers.write_csv(docs, folder)
+    return spark.read.schema(docs.schema).option("header", True).option("escape", '"').option("multiLine", True).csv(folder)
+
+
 @query(f"""select doc_id, regexp_replace(s, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g') as s, source from (select doc_id, {MARKED} as s, source from documents)""")
 def export_clean(spark, d):
     return writers.without_control(documents(spark, d, s=MARKED).select("doc_id", "s", "source"))

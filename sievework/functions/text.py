@@ -51,6 +51,19 @@ def strip(s: Column | str) -> Column:
     return F.btrim(col(s), F.lit(SPACES))
 
 
+def strict_json(text: Column | str) -> Column:
+    """A text that is one JSON value and nothing else as a variant, else null.
+
+    The parser stops after the first value; that a line holds no more shows when
+    it is also the one element of a list and the one member of an object. ``NaN``
+    and infinities are refused.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when((F.size(listed) == 1) & member.isNotNull(), F.try_parse_json(text))
+
+
 def blank(s: Column | str) -> Column:
     """Null, empty or white space only."""
     return F.coalesce(strip(s), F.lit("")) == ""

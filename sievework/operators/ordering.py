@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import checkpointed
+
 HASH_RANGES = 16 ** 4
-ID_RANGES = 16 ** 4
-ROWS_PER_RANGE = 200_000
 
 
 def hash_key(seed: int, *keys: str) -> Column:
@@ -37,22 +37,19 @@ def _offsets(ranges: DataFrame) -> DataFrame:
 
 
 def with_position(df: DataFrame, id: str, name: str = "position") -> DataFrame:
-    """Zero-based position of each row in the order of a unique whole-number id.
+    """Zero-based position of each row in the order of a unique id.
 
-    One aggregate finds the span of the ids, which is cut into equal ranges; as
-    ids are unique, a range holds at most its width of rows.
+    Rows are dealt by sampled ranges of the id, so the ranges hold about equally
+    many rows whatever gaps the ids have, and sorted inside. The dealt rows are
+    written once; their place in the range plus the sizes of the ranges before is
+    the position. Only one row per range is ever ordered in one task.
     """
-    low, high, rows = df.agg(F.min(id), F.max(id), F.count("*")).first()
-    ranges = max(1, min(ID_RANGES, (rows or 0) // ROWS_PER_RANGE))
-    width = max(1, -(-((high or 0) - (low or 0) + 1) // ranges))
-    ranged = df.withColumn("_range", F.floor((F.col(id) - F.lit(low or 0)) / F.lit(width)).cast("int"))
-    offsets = _offsets(ranged.groupBy("_range").agg(F.count("*").alias("_rows")))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(id)) - 1
-    return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_before") + inside)
-        .drop("_range", "_rows", "_before", "_total")
-    )
+    dealt = df.repartitionByRange(id).sortWithinPartitions(id)
+    placed = checkpointed(dealt.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_place")))
+    ranges = placed.groupBy("_range").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select("_range", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_place") + F.col("_shift")).drop("_range", "_place", "_shift")
 
 
 def mark_first(

@@ -320,7 +320,7 @@ def count_matrix(df: DataFrame, row: str, column: str, columns: Sequence[str], t
 
 def class_order(values: Sequence[str]) -> list[str]:
     """Numeric names by value, all others last."""
-    return sorted(values, key=lambda v: int(v) if v.isdigit() else 99)
+    return sorted(values, key=lambda v: int(v) if v.isdecimal() else 99)
 
 
 def distinct_values(df: DataFrame, column: str, most: int = 10_000) -> list[str]:

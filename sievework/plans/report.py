@@ -38,11 +38,6 @@ def audit_markdown(audit) -> str:
 
 def card_text(card: DataFrame, numeral_mode: str, cap: int) -> str:
     """The data card of a split as text."""
-    c = card.first()
-    return "\n".join([
-        f"train rows: {c['train_rows']} (incl. {c['identity_rows']} identity)",
-        f"eval rows:  {c['eval_rows']}",
-        f"total templates: {c['templates']}  train-templates: {c['train_templates']}  eval-templates: {c['eval_templates']}",
-        f"EVAL/TRAIN TEMPLATE OVERLAP: {c['template_overlap']}",
-        f"numerals: {numeral_mode}  cap_per_template: {cap}",
-    ]) + "\n"
+    row = card.first().asDict()
+    facts = {**row, "numeral_mode": numeral_mode, "cap_per_template": cap}
+    return "".join(f"{name}={value}\n" for name, value in facts.items())

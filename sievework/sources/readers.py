@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from ..functions.text import blank
+from ..functions.text import blank, strict_json
 from ..operators.validate import BAD_JSON, NO_MESSAGES, TOO_FEW, contract_violations, require
 
 MESSAGE = StructType([StructField("role", StringType()), StructField("content", StringType())])
@@ -18,6 +18,9 @@ RECORD = StructType([
     StructField("topic", StringType()),
 ])
 
+#: File blocks whose offsets are sent to every executor; beyond that lines are joined to them by shuffle.
+MOST_BLOCKS = 100_000
+
 # Keys that a generation file must hold.
 GENERATION_KEYS = [
     "id", "subject", "grade", "district", "topic", "context", "question", "reference_answer", "generation"]
@@ -39,7 +42,8 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     blocks = lines.groupBy("_file", "_start").agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("_file", "_start", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    return lines.join(offsets, ["_file", "_start"]).select(
+    few = offsets.limit(MOST_BLOCKS + 1).count() <= MOST_BLOCKS
+    return lines.join(F.broadcast(offsets) if few else offsets, ["_file", "_start"]).select(
         (F.col("_before") + F.col("_place") - F.col("_first")).alias("id"), "value")
 
 
@@ -47,17 +51,18 @@ def parse_chat_lines(lines: DataFrame, schema: StructType = RECORD) -> DataFrame
     """Parse ``value`` of non-blank lines: the record's columns and ``fault``.
 
     ``fault`` is ``bad_json``, ``not_object``, ``no_messages``,
-    ``messages_not_list`` or null. The strict second look at a line is taken
-    only where no message list came out.
+    ``messages_not_list`` or null. Every line must be one JSON value with nothing
+    after it; a faulty line has null columns.
     """
-    parsed = lines.filter(~blank("value")).withColumn("_record", F.from_json("value", schema))
-    tree = F.try_parse_json("value")
-    fault = F.when(
-        F.col("_record.messages").isNull(),
+    tree = F.col("_tree")
+    parsed = lines.filter(~blank("value")).withColumn("_tree", strict_json("value"))
+    parsed = parsed.withColumn("_record", F.when(tree.isNotNull(), F.from_json("value", schema)))
+    fault = (
         F.when(tree.isNull(), "bad_json")
+        .when(F.col("_record.messages").isNotNull(), F.lit(None))
         .when(~F.schema_of_variant(tree).startswith("OBJECT"), "not_object")
         .when(F.try_variant_get(tree, "$.messages", "variant").isNull(), "no_messages")
-        .otherwise("messages_not_list"),
+        .otherwise("messages_not_list")
     )
     return parsed.select(
         *[c for c in lines.columns if c != "value"],
@@ -108,18 +113,19 @@ def read_jsonl_with_error_rows(spark: SparkSession, path: str | Sequence[str]) -
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType = RECORD) -> DataFrame:
-    """A ``.json`` file holding a list or one object, or a ``.jsonl`` file."""
+    """A ``.json`` file holding a list or one object, or a ``.jsonl`` file; a
+    malformed one fails the job."""
     if path.lower().endswith(".jsonl"):
-        return spark.read.schema(schema).json(path)
+        return spark.read.schema(schema).json(path, mode="FAILFAST")
     if path.lower().endswith(".json"):
-        return spark.read.schema(schema).json(path, multiLine=True)
+        return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST")
     raise ValueError(f"neither .json nor .jsonl: {path}")
 
 
 def read_flat_jsonl(spark: SparkSession, paths: Sequence[str], schema: StructType | str | None = None) -> DataFrame:
-    """Flat records pooled from several files."""
+    """Flat records pooled from several files; a malformed line fails the job."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.json(list(paths))
+    return reader.json(list(paths), mode="FAILFAST")
 
 
 def read_generations(spark: SparkSession, path: str) -> DataFrame:

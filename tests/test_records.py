@@ -194,7 +194,7 @@ def test_tuning_set(spark, tmp_path):
     card = done.card.first()
     assert card["template_overlap"] == 0 and card["templates"] == 14 and card["eval_templates"] == 2 and card["identity_rows"] == 6
     assert done.train.count() == card["train_rows"] and done.held_out.count() == card["eval_rows"] <= 6
-    assert "TEMPLATE OVERLAP: 0" in done.text_card
+    assert "template_overlap=0\n" in done.text_card
     first = done.train.filter("subject = 'math'").first()
     assert first["messages"][0]["content"] == "sys" and first["messages"][1]["content"].isascii() is False
     done.write(str(tmp_path))

@@ -1,4 +1,4 @@
-"""What the operators share: landed tables, joins with hot keys, word splitting."""
+"""What the operators share: joins with hot keys, columns under safe names, slices of Arrow batches."""
 
 from __future__ import annotations
 
@@ -6,43 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from sievework.session import new_folder
+from sievework.operators import grouping
+from sievework.session import landed, new_folder as shared  # noqa: F401  for the operators
 
 #: Bytes of text that one step of an Arrow task works on at once.
 STEP_BYTES = 4 << 20
 
 
-def landed(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared folder and read it back.
-
-    Cuts the lineage and survives the loss of any executor; unlike
-    ``checkpoint()`` the last stage runs once. The folder is the caller's to keep.
-    """
-    folder = new_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def documents_of(df: DataFrame, id: str, text: str) -> DataFrame:
     """Only the two columns an operator reads, under names no other column clashes with."""
     return df.select(df[id].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"))
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, least: int = 1_000) -> DataFrame:
-    """Inner join of ``rows`` with ``groups``, one row per ``key`` with its number of rows in ``size``.
-
-    Groups of more than a 5,000th of all rows (there are fewer than 5,000 of them, so
-    their broadcast is bounded) meet their rows where these lie; only the rest is shuffled.
-    """
-    limit = max(least, total // 5_000)
-    hot, cold = groups.filter(F.col(size) > limit), groups.filter(F.col(size) <= limit)
-    if total <= limit:
-        return rows.join(cold, key)
-    here = rows.join(F.broadcast(hot), key)
-    there = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
-    return here.unionByName(there)
+    """Inner join of ``rows`` with ``groups`` on one key; large groups meet their rows where these lie."""
+    return grouping.join_groups(rows, groups, [key], size, total, least)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -65,14 +45,5 @@ def byte_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()]
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether a table has at most so many rows, without counting beyond."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def hex_of(column: Column) -> Column:
     return F.lower(F.hex(column))
-
-
-def shared(spark: SparkSession, purpose: str) -> str:
-    return new_folder(spark, purpose)

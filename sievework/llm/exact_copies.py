@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .bloom import among, without
 from .common import documents_of, hex_of, join_groups, landed
 
 BLOCK_BITS = 4096
@@ -135,17 +136,15 @@ def exact_copies(df: DataFrame, id: str = "doc_id", text: str = "text", filter_b
 def drop_copies(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that stay, whole.
 
-    Only what was found among repeated texts comes back to the rows, as ids and digests.
+    Rows pass where they lie unless a filter of the ids and digests that go knows them.
     """
     verdicts = landed(exact_copies(df, id, text).filter("group_size > 1"), "copies")
-    digest = F.sha2(F.coalesce(df[text], F.lit("")).cast("binary"), 256)
-    gone, twice = verdicts.filter("not kept and not same_row"), verdicts.filter("same_row")
-    def match(found):
-        found = found.select(F.col("doc_id").alias("_llm_id"), F.col("text_sha256").alias("_llm_digest")).distinct()
-        return found, df[id].eqNullSafe(found["_llm_id"]) & (digest == found["_llm_digest"])
-    stays = df.join(*match(verdicts.filter("not kept")), "left_anti")
+    key = lambda i, digest: F.to_json(F.struct(i.alias("i"), digest.alias("d")))
+    own = key(F.col(id), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    named = verdicts.withColumn("_llm_key", key(F.col("doc_id"), F.col("text_sha256")))
+    stays = without(df, own, named.filter("not kept").select("_llm_key"))
+    twice = named.filter("same_row")
     if twice.isEmpty():
         return stays
-    one = df.join(*match(twice), "left_semi").join(*match(gone), "left_anti")
-    number = F.sha2(F.coalesce(one[text], F.lit("")).cast("binary"), 256)
-    return stays.unionByName(one.withColumn("_llm_digest", number).dropDuplicates([id, "_llm_digest"]).drop("_llm_digest"))
+    again = among(df, own, twice.select("_llm_key")).withColumn("_llm_row", own).dropDuplicates(["_llm_row"]).drop("_llm_row")
+    return stays.unionByName(again)

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .bloom import among, without
 from .common import byte_texts, documents_of, join_groups, landed, sliced
 from .components import components
 from .shingles import _FACTOR, mix, shingle_sets
@@ -146,12 +147,15 @@ def star_pairs(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, list
 
 
 def _cell_links(percent: int) -> Callable:
-    """Links of a cell from its texts of side 0 to those of side 1 under other labels, at most one per pair of parts that it joins."""
+    """Links of a cell from its texts of side 0 to those of side 1 under other labels, at most one per pair of parts that it joins.
+
+    A text of side 2 is on both, which saves its copy where a band is one cell.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _runs(batches, 3):
             side, node, label, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
             regs = np.stack([np.frombuffer(r[4], np.uint16) for r in rows])
-            some, all_ = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            some, all_ = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
             sets = [np.frombuffer(r[5], np.uint64) for r in rows]
             sizes = np.array([len(x) for x in sets])
             starts = np.cumsum(sizes) - sizes
@@ -206,19 +210,18 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
         return np.array([linked(own, np.frombuffer(o[0], np.uint64), percent) for o in others])
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        """``node`` and ``members`` of the wanted nodes, from their texts."""
-        named = wanted.join(nodes.select("node", "set", "first_id"), "node")
-        ids = named.select(F.col("first_id").alias("_id")).distinct()
-        texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("text")
-        sets = texts.mapInArrow(_sets, "set binary, members binary")
-        return landed(sets.join(named.select("node", "set"), "set").groupBy("node").agg(F.first("members").alias("members")), "sets")
+        """``node``, ``n_shingles``, ``registers`` and ``members`` of the wanted nodes, from their texts."""
+        named = landed(nodes.drop("keys").join(wanted, "node", "left_semi"), "wanted")
+        sets = among(docs, F.col("doc_id"), named.select("first_id")).select("text").mapInArrow(_sets, "set binary, members binary")
+        once = sets.join(named.select("set"), "set", "left_semi").groupBy("set").agg(F.first("members").alias("members"))
+        return landed(named.join(once, "set").select("node", "n_shingles", "registers", "members"), "sets")
 
     crowded = members.filter("n > 2")
     close = landed(star_pairs(pairs, nodes.select("node", "n_shingles", "registers"), by_estimate, ["n_shingles", "registers"]), "close")
     sets = sets_of(close.select("node").union(close.select("pivot")).union(crowded.select("node")).distinct())
-    links = landed(star_pairs(close, sets, by_sets, ["members"]).select(F.col("pivot").alias("u"), F.col("node").alias("v")), "links")
+    links = landed(star_pairs(close, sets.select("node", "members"), by_sets, ["members"]).select(F.col("pivot").alias("u"), F.col("node").alias("v")), "links")
     labels = landed(components(links), "labels")
-    more = landed(_open_links(crowded, labels, nodes, sets, percent), "links")
+    more = landed(_open_links(crowded, labels, sets, percent), "links")
     if not more.isEmpty():
         labels = landed(components(links.unionByName(more)), "labels")
 
@@ -235,7 +238,7 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
 
 
-def _open_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components within bands, each text outside a band's largest component against all of the band."""
     known = landed(_labelled(members, labels), "open")
     sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all"))
@@ -246,15 +249,15 @@ def _open_links(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: D
     rows = join_groups(known, once, "key", "rows", members.count())
     here = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    some = rows.filter("label <> top").select("key", here(F.col("blocks")).alias("block"), every("bands").alias("band"), F.lit(0).alias("side"), "node", "label")
-    whole = rows.select("key", every("blocks").alias("block"), here(F.col("bands")).alias("band"), F.lit(1).alias("side"), "node", "label")
-    full = some.unionByName(whole).join(nodes.select("node", "n_shingles", "registers"), "node").join(sets, "node")
+    one = (F.col("blocks") == 1) & (F.col("bands") == 1)
+    outside = F.col("label") != F.col("top")
+    some = rows.filter(outside & ~one).select("key", here(F.col("blocks")).alias("block"), every("bands").alias("band"), F.lit(0).alias("side"), "node", "label")
+    whole = rows.select("key", every("blocks").alias("block"), here(F.col("bands")).alias("band"), F.when(one & outside, 2).otherwise(1).alias("side"), "node", "label")
+    full = some.unionByName(whole).join(sets, "node")
     return (full.select("key", "block", "band", "side", "node", "label", "n_shingles", "registers", "members")
             .repartition("key", "block", "band").sortWithinPartitions("key", "block", "band").mapInArrow(_cell_links(percent), "u long, v long"))
 
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """The rows of ``df`` whose id is the least of its component, whole."""
-    judged = landed(near_copies(df, id, text, percent).filter("not kept"), "judged")
-    gone = judged.select(F.col("doc_id").alias("_llm_id")).distinct()
-    return df.join(gone, df[id].eqNullSafe(gone["_llm_id"]), "left_anti")
+    return without(df, F.col(id), near_copies(df, id, text, percent).filter("not kept").select("doc_id"))

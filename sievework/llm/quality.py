@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .bloom import without
 from .common import landed, sliced
 
 SYMBOLS = b"#*$%&|<>"
@@ -224,5 +225,4 @@ def quality_rules(
 def drop_poor(df: DataFrame, id: str = "doc_id", text: str = "text", **columns: str) -> DataFrame:
     """The rows of ``df`` whose id has no rejected row, whole."""
     judged = landed(quality_rules(df, id, text, **columns).select("doc_id", "kept"), "judged")
-    gone = judged.filter("not kept").select(F.col("doc_id").alias("_llm_id")).distinct()
-    return df.join(gone, df[id].eqNullSafe(gone["_llm_id"]), "left_anti")
+    return without(df, F.col(id), judged.filter("not kept").select("doc_id"))

@@ -20,14 +20,13 @@ from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .bloom import FILTER_BYTES, maybe_among
 from .common import join_groups, landed
 
 #: Verdict, host and path of the rules of the registered query.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 #: Query parameters that do not tell pages apart.
 TRACKING = "^(utm_[^=]*|ref|fbclid|gclid)(=|$)"
-WORDS = 8
-BITS_PER_URL = 16
 
 
 def _rest(url: Column) -> Column:
@@ -60,35 +59,18 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]] =
     return name, verdict
 
 
-def _bits() -> list[Column]:
-    """One set bit of 32 in each word of a block."""
-    return [F.expr(f"shiftleft(1L, cast(shiftright(bits, {5 * j}) & 31 as int))") for j in range(WORDS)]
-
-
-def _placed(rows: DataFrame, blocks: int) -> DataFrame:
-    return rows.withColumn("block", F.pmod(F.xxhash64("canonical", F.lit(1)), F.lit(blocks))).withColumn("bits", F.xxhash64("canonical", F.lit(2)))
-
-
-def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
-    """``block`` and its eight words, for each block that is not empty."""
-    words = [F.bit_or(b).alias(f"w{j}") for j, b in enumerate(_bits())]
-    return _placed(listed, blocks).groupBy("block").agg(*words)
-
-
 def filter_urls(
-    df: DataFrame, listed: DataFrame, id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, filter_bytes: int = 32 << 20,
+    df: DataFrame, listed: DataFrame, id: str = "page_id", url: str = "url", rules: Sequence[tuple[str, str, str]] = RULES, filter_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``listed`` of each row; ``listed`` has canonical URLs in its first column."""
     listed = landed(listed.select(F.col(listed.columns[0]).alias("canonical")).filter("canonical is not null").distinct(), "listed")
-    blocks = max(1, min(filter_bytes // (4 * WORDS), -(-listed.count() * BITS_PER_URL // (32 * WORDS))))
     address = df[url].cast("string")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = df.select(df[id].alias("page_id"), host_of(address).alias("host"), path_of(address).alias("path"), canonical(address).alias("canonical"))
     rows = rows.select("*", rule.alias("rule"), verdict.alias("says"))
-    probed = _placed(rows, blocks).join(F.broadcast(bloom_filter(listed, blocks)), "block", "left")
-    hit = reduce(lambda a, b: a & b, [F.col(f"w{j}").bitwiseAND(b) != 0 for j, b in enumerate(_bits())])
-    judged = landed(probed.select("page_id", "host", "path", "rule", "says", "canonical", F.coalesce(
-        F.col("canonical").isNotNull() & hit, F.lit(False)).alias("maybe")), "judged")
+    probed = maybe_among(rows, F.col("canonical"), listed, "hit", filter_bytes)
+    judged = landed(probed.select("page_id", "host", "path", "rule", "says", "canonical", (
+        F.col("canonical").isNotNull() & F.col("hit")).alias("maybe")), "judged")
     maybe = judged.filter("maybe")
     found = maybe.groupBy("canonical").agg(F.count(F.lit(1)).alias("n")).join(listed, "canonical", "left_semi")
     hits = join_groups(maybe, found, "canonical", "n", judged.count()).withColumn("listed", F.lit(True))

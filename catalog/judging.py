@@ -266,7 +266,13 @@ def identity_check(spark, d):
     return table(spark, d, "documents").select("doc_id", F.contains("text", F.lit("the")).alias("names_itself"))
 
 
-@query()
+_COSINES = [[f"list_cosine_similarity(e[{i + 1}:{i + 16}], e[{j + 1}:{j + 16}])" for j in (32, 48)] for i in (0, 16)]
+_RECALL = "(" + " + ".join(f"greatest({', '.join(row)})" for row in _COSINES) + ") / 2"
+_PRECISION = "(" + " + ".join(f"greatest({_COSINES[0][j]}, {_COSINES[1][j]})" for j in (0, 1)) + ") / 2"
+
+
+@query(f"""select vec_id, round(case when p + r <> 0 then 2 * p * r / (p + r) else 0 end, 6) as f1 from (
+  select vec_id, {_PRECISION} as p, {_RECALL} as r from (select vec_id, embedding::double[] as e from embeddings))""")
 def vector_f1(spark, d):
     rows = table(spark, d, "embeddings")
     halves = [F.array(F.slice("embedding", s, 16), F.slice("embedding", s + 16, 16)) for s in (1, 33)]

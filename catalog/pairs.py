@@ -44,6 +44,20 @@ def emb_unit(spark, d):
         vectors.cosine("embedding", F.reverse("embedding")).alias("cosine")))
 
 
+def _letter_counts():
+    return lambda texts: [[t.count(c) for c in "aeio "] for t in texts]
+
+
+@query("""select doc_id, length(text) - length(replace(text, 'a', '')) as a, length(text) - length(replace(text, ' ', '')) as spaces, 5 as dimensions,
+  round(sqrt(list_sum(list_transform(['a', 'e', 'i', 'o', ' '], lambda c: power(length(text) - length(replace(text, c, '')), 2)))), 6) as size from documents""")
+def encoder_hook(spark, d):
+    """Vectors of a caller's encoder, here counts of five characters."""
+    found = vectors.encoded(table(spark, d, "documents"), "doc_id", "text", _letter_counts)
+    return rounded(found.select(
+        "doc_id", F.get("vector", F.lit(0)).cast("long").alias("a"), F.get("vector", F.lit(4)).cast("long").alias("spaces"),
+        F.size("vector").alias("dimensions"), vectors.norm("vector").alias("size")))
+
+
 _STATS = """count(*) as n_pairs, round(avg(s), 6) as mean, round(stddev_pop(s), 6) as std, round(quantile_cont(s, 0.5), 6) as median,
   round(quantile_cont(s, 0.95), 6) as p95, round(quantile_cont(s, 0.99), 6) as p99, round(min(s), 6) as min, round(max(s), 6) as max,
   round(avg((s > 0.7)::int), 6) as share_gt_70, round(avg((s > 0.8)::int), 6) as share_gt_80, round(avg((s > 0.85)::int), 6) as share_gt_85"""

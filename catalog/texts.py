@@ -119,7 +119,12 @@ def answers(spark, d):
         t.preview("s", 200).alias("preview"), t.token_estimate("s", 3.5).alias("est_tokens"))
 
 
-@query()
+_LAST = f"regexp_extract(w[i], '{WORD}+$')"
+
+
+@query(f"""select doc_id, {strip('s')} = '' or len(list_filter(range(1, greatest(1, len(w) - 2)), lambda i: {_LAST} <> '' and w[i + 1] = {_LAST}
+    and w[i + 2] = w[i + 1] and starts_with(w[i + 3], w[i + 1]))) > 0 as degenerate
+  from (select doc_id, s, string_split(lower(s), ' ') as w from (select doc_id, {MARKED} as s from documents))""")
 def degenerate(spark, d):
     return documents(spark, d, s=MARKED).select("doc_id", t.is_degenerate("s").alias("degenerate"))
 

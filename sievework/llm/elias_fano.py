@@ -1,14 +1,14 @@
 """Rising sequences of integers in Elias-Fano form, for lookups of many values at once.
 
 Of each value the low bits are stored as they are; the high bits are unary gaps in a bit vector, with the number of
-zeros before each of its 512-bit blocks beside it. All parts are plain arrays that can lie in a mapped file.
+zeros before each of its 64-bit words beside it. All parts are plain arrays that can lie in a mapped file.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-BLOCK_BITS = 512
+BLOCK_BITS = 64
 _HEAD = 6
 
 
@@ -80,16 +80,9 @@ class Sequence:
     def _select(self, rank: np.ndarray, ones: bool) -> np.ndarray:
         """Places of the ones or zeros of the given ranks (from 0)."""
         before = np.arange(len(self.zeros)) * BLOCK_BITS - self.zeros if ones else self.zeros
-        block = np.searchsorted(before, rank, side="right") - 1
-        words = self.bits[(block * 8)[:, None] + np.arange(8)]
-        if not ones:
-            words = ~words
-        counts = np.cumsum(np.bitwise_count(words).astype(np.int64), axis=1)
-        rest = rank - before[block]
-        word = (counts <= rest[:, None]).sum(axis=1)
-        rows = np.arange(len(rank))
-        rest = rest - np.where(word > 0, counts[rows, np.maximum(word - 1, 0)], 0)
-        return block * BLOCK_BITS + word * 64 + self._in_word(words[rows, word], rest)
+        word = np.searchsorted(before, rank, side="right") - 1
+        bits = self.bits[word]
+        return word * BLOCK_BITS + self._in_word(bits if ones else ~bits, rank - before[word])
 
     def get(self, index: np.ndarray) -> np.ndarray:
         """Values at the given indices."""
@@ -105,15 +98,17 @@ class Sequence:
             return index, same
         high = (values >> np.uint64(self.width)).astype(np.int64)
         wanted = values & np.uint64((1 << self.width) - 1)
-        place, later = np.zeros(len(values), np.int64), high > 0
-        place[later] = self._select(high[later] - 1, False) + 1
-        index, open_ = place - high, np.arange(len(values))
-        while len(open_):  # elements of the same high part, one more each time
-            p = place[open_]
-            open_ = open_[(self.bits[p >> 6] >> (p & 63).astype(np.uint64) & np.uint64(1)).astype(bool)]
-            low = unpack(self.low, index[open_], self.width)
-            same[open_] = low == wanted[open_]
-            open_ = open_[low < wanted[open_]]
-            index[open_] += 1
-            place[open_] += 1
+        later = high > 0
+        index[later] = self._select(high[later] - 1, False) - high[later] + 1  # elements of lesser high parts
+        last = self._select(high, False) - high  # and with those of the same
+        low, top = index, last.copy()
+        open_ = np.flatnonzero(low < top)
+        while len(open_):  # by halves among those of the same high part
+            middle = (low[open_] + top[open_]) >> 1
+            less = unpack(self.low, middle, self.width) < wanted[open_]
+            low[open_[less]] = middle[less] + 1
+            top[open_[~less]] = middle[~less]
+            open_ = open_[low[open_] < top[open_]]
+        some = np.flatnonzero(index < last)
+        same[some] = unpack(self.low, index[some], self.width) == wanted[some]
         return index, same

@@ -31,6 +31,6 @@ def mapped(address: str):
 
     system, path = fs.FileSystem.from_uri(address)
     if isinstance(system, fs.LocalFileSystem):
-        return np.memmap(path, np.uint64, "r")
+        return np.asarray(np.memmap(path, np.uint64, "r"))
     with system.open_input_file(path) as file:
         return np.frombuffer(file.read(), np.uint64)

@@ -183,26 +183,25 @@ class Level:
             self.files[k] = keys, Sequence(words[1 + keys.words:]), int(words[0])
         return self.files[k]
 
-    def _by_part(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        part = np.searchsorted(self.firsts, keys, side="right") - 1
-        order = np.argsort(part, kind="stable")
-        edges = np.searchsorted(part[order], np.arange(len(self.parts) + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            yield int(k), order[edges[k]:edges[k + 1]]
+    def _by_part(self, keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """The stretches of rising keys that fall into each part."""
+        edges = [*np.searchsorted(keys, self.firsts).tolist(), len(keys)]
+        for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+            if b > a:
+                yield k, slice(a, b)
 
     def keys(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         return context.astype(np.uint64) * np.uint64(self.v) + word.astype(np.uint64)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each gram (-1 if there is none) and its log10 probability."""
+        """Number of each gram (-1 if there is none) and its log10 probability, for rising keys."""
         number, log_p = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
         for k, of in self._by_part(keys):
             sequence, _, first = self._file(k)
             relative = keys[of] - np.uint64(first)
-            within = relative < np.uint64(sequence.universe)
-            of, relative = of[within], relative[within]
+            relative = relative[:np.searchsorted(relative, np.uint64(sequence.universe))]
             at, same = sequence.search(relative)
-            of, at = of[same], at[same]
+            of, at = np.flatnonzero(same) + of.start, at[same]
             number[of] = self.parts[k][1] + at
             if self.parts[k][5] is not None and len(of):
                 words = mapped(self.parts[k][5]) if (k, 5) not in self.files else self.files[k, 5]
@@ -211,13 +210,13 @@ class Level:
         return number, log_p
 
     def continuations(self, context: np.ndarray) -> np.ndarray:
-        """Different words seen after each context."""
+        """Different words seen after each of the rising contexts."""
         out = np.zeros(len(context), np.float64)
         for k, of in self._by_part(self.keys(context, np.zeros(len(context), np.int64))):
             _, pointers, first = self._file(k)
             at = context[of] - first // self.v
             here = (at >= 0) & (at + 1 < pointers.n)
-            of, at = of[here], at[here]
+            of, at = np.flatnonzero(here) + of.start, at[here]
             out[of] = (pointers.get(at + 1) - pointers.get(at)).astype(np.float64)
         if len(self.split):
             at = np.minimum(np.searchsorted(self.split, context), len(self.split) - 1)
@@ -317,7 +316,8 @@ class Model:
         gram, log_p = self._grams(self.levels[order - 3], short, word)
         p = 10 ** log_p
         missing = np.flatnonzero(gram < 0)
-        p[missing] = self.backoff(2, short[missing]) * self.base(self.words.counts(word[missing]))
+        different, at = np.unique(short[missing], return_inverse=True)
+        p[missing] = self.backoff(2, different)[at] * self.base(self.words.counts(word[missing]))
         return p
 
 

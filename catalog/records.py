@@ -323,8 +323,18 @@ _VIEWS = f"""(select doc_id, 'system' as view, {SYSTEM} as text from documents w
   select doc_id, 'user', {USER} from documents where doc_id % 40 <> 10 union all select doc_id, 'assistant', {ASSISTANT} from documents where doc_id % 40 <> 10)"""
 
 
-@query(f"""select view, round(100 * (0.35 * (1 - jaccard_mean) + 0.25 * distinct_2 + 0.2 * (1 - (count - unique_normalized) / count) + 0.1), 2) as score,
-  count, vocab, total_tokens, jaccard_pairs from ({_view_sql(('view',), 'bn', '*').replace('from documents)', 'from ' + _VIEWS + ')')})""")
+_VIEW_STATS = f"({_view_sql(('view',), 'bn', '*').replace('from documents)', 'from ' + _VIEWS + ')')})"
+_SCORE = "100 * (0.35 * (1 - jaccard_mean) + 0.25 * distinct_2 + 0.2 * (1 - (count - unique_normalized) / count) + 0.1)"
+
+
+@query(f"select round(avg({_SCORE}), 2) as score, max(count) as rows from {_VIEW_STATS}")
+def audit_overall(spark, d):
+    """The overall figure of an audit: the mean of the views' scores."""
+    found = audit.view_scores(audit.views(three_messages(spark, d)))
+    return found.agg(F.round(F.avg("score"), 2).alias("score"), F.max("count").alias("rows"))
+
+
+@query(f"select view, round({_SCORE}, 2) as score, count, vocab, total_tokens, jaccard_pairs from {_VIEW_STATS}")
 def audit_views(spark, d):
     texts = audit.views(three_messages(spark, d))
     # The sample order hashes the id alone, as the SQL does.

@@ -22,7 +22,7 @@ def folder(spark, tmp_path_factory):
     texts = [sentence(rng, rng.randint(60, 160)) for _ in range(150)]
     for k in range(0, 150, 30):
         texts[k] = " ".join(w + "###" for w in texts[k].split())  # symbols throughout
-    texts += [texts[1]] * 4 + [texts[2] + " one more", "one " + texts[2], texts[3].upper(), "too short", None, "", "same words here " * 60, sentence(rng, 9000)]
+    texts += [texts[1]] * 4 + [texts[2] + " one more", "one " + texts[2], texts[3].upper(), "too short", None, "", "same words here " * 60]
     rows = [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
     path = str(tmp_path_factory.mktemp("pipeline"))
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{path}/documents.parquet")

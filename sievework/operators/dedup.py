@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .grouping import join_groups
 from .ordering import hash_key
 
 
@@ -19,7 +20,7 @@ def exact_duplicate_members(df: DataFrame, text: str, id: str) -> DataFrame:
     """Members of those groups, one row each (a group may be of any size)."""
     rows = df.select(F.col(id), F.coalesce(F.sha2(text, 256), F.lit("")).alias("_digest"))
     groups = rows.groupBy("_digest").agg(F.min(id).alias("first_id"), F.count("*").alias("count")).filter("count > 1")
-    return rows.join(groups, "_digest").select("first_id", "count", id)
+    return join_groups(rows, groups, ["_digest"], "count", rows.count()).select("first_id", "count", id)
 
 
 def exact_dedup(df: DataFrame, form: Column, id: str) -> DataFrame:

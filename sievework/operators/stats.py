@@ -303,10 +303,13 @@ def head_coverage(df: DataFrame, value: str, by: Sequence[str] = (), top: int =
     ), by)
 
 
-def count_matrix(df: DataFrame, row: str, column: str, columns: Sequence[str], total: str = "total") -> DataFrame:
+def count_matrix(df: DataFrame, row: str, column: str, columns: Sequence[str], total: str = "total", other: str | None = None) -> DataFrame:
     """Two-key counts as a matrix with row and column totals.
 
-    ``columns`` fixes the column order (see ``class_order``)."""
+    ``columns`` fixes the column order (see ``class_order``); ``other`` names one more for all other values."""
+    if other is not None:
+        df = df.withColumn(column, F.when(F.col(column).cast("string").isin(*columns), F.col(column).cast("string")).otherwise(other))
+        columns = [*columns, other]
     cells = df.cube(row, column).agg(F.count("*").alias("n"), F.grouping(row).alias("_gr"), F.grouping(column).alias("_gc"))
     named = cells.select(
         F.when(F.col("_gr") == 1, total).otherwise(F.col(row).cast("string")).alias(row),
@@ -323,12 +326,11 @@ def class_order(values: Sequence[str]) -> list[str]:
     return sorted(values, key=lambda v: int(v) if v.isdecimal() else 99)
 
 
-def distinct_values(df: DataFrame, column: str, most: int = 10_000) -> list[str]:
-    """Distinct values for the columns of a report; an error beyond ``most``."""
-    found = [r[0] for r in df.select(F.col(column).cast("string")).distinct().limit(most + 1).collect()]
-    if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values, too many for report columns")
-    return class_order(sorted(v for v in found if v is not None))
+def frequent_values(df: DataFrame, column: str, most: int = 1_000) -> tuple[list[str], bool]:
+    """The ``most`` frequent values for the columns of a report, and whether there are more."""
+    counts = df.groupBy(F.col(column).cast("string").alias("_v")).count().filter("_v is not null")
+    found = [r[0] for r in counts.orderBy(F.desc("count"), "_v").limit(most + 1).collect()]
+    return class_order(sorted(found[:most])), len(found) > most
 
 
 # ---- sizes ------------------------------------------------------------------

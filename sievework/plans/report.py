@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-MOST_LINES = 5_000
+MOST_LINES = 500
 
 
 def table_markdown(df: DataFrame, places: int = 3) -> str:
-    """A markdown table of a report frame; an error when it is not a short one."""
+    """A markdown table of a report frame; a long one shows its first rows and says so, the whole is in the written sections."""
     rows = df.limit(MOST_LINES + 1).collect()
-    if len(rows) > MOST_LINES:
-        raise ValueError(f"a report table of more than {MOST_LINES} rows")
+    more = len(rows) > MOST_LINES
 
     def cell(v) -> str:
         return "-" if v is None else f"{v:.{places}f}" if isinstance(v, float) else str(v)
 
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-    return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in rows])
+    shown = ["| " + " | ".join(map(cell, r)) + " |" for r in rows[:MOST_LINES]]
+    return "\n".join([*lines, *shown, *(["", f"The first {MOST_LINES} rows."] if more else [])])
 
 
 def audit_markdown(audit) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -46,10 +47,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder; it goes when the driver's process ends."""
     folder = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-    atexit.register(drop_folder, spark, folder)
+    atexit.register(_at_exit, spark, folder)
     return folder
 
 
+def _at_exit(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        drop_folder(spark, folder)
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Remove a folder of the shared one, if the session still runs."""
     context = spark.sparkContext

@@ -20,7 +20,7 @@ _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_LEVEL = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 _WORD_END = re.compile(rf"{_CONTRACTIONS}|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
 #: Chunks kept between slices; beyond that the memory is emptied.
-KEPT = 500_000
+KEPT = 400_000
 
 
 def byte_alphabet() -> dict[int, str]:

@@ -25,8 +25,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return drop_near_copies(docs)
+    """One document of each group of near copies: texts that share four fifths of their runs of five words."""
+    return drop_near_copies(docs, percent=80)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

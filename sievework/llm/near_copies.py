@@ -274,5 +274,11 @@ def _open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
 
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of ``df`` whose id is the least of its component, whole."""
-    return without(df, F.col(id), near_copies(df, id, text, percent).filter("not kept").select("doc_id"))
+    """The rows of ``df`` that stay, whole: of each component the row with the least id, null last, and digest of its text.
+
+    Rows that repeat both id and text stay or go together; ``drop_copies`` leaves one of them.
+    """
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    own = F.struct(F.col(id).isNull().alias("unnamed"), F.col(id).alias("id"), digest.alias("digest"))
+    rows = df.select(own.alias("own"), F.col(text).alias("text"))
+    return without(df, own, near_copies(rows, "own", "text", percent).filter("not kept").select("doc_id"))

@@ -222,7 +222,11 @@ def quality_rules(
     return judged.select("doc_id", *COUNTS, "base_failed", distance.alias("distance"), kept.alias("kept"), *X)
 
 
-def drop_poor(df: DataFrame, id: str = "doc_id", text: str = "text", **columns: str) -> DataFrame:
-    """The rows of ``df`` whose id has no rejected row, whole."""
-    judged = landed(quality_rules(df, id, text, **columns).select("doc_id", "kept"), "judged")
-    return without(df, F.col(id), judged.filter("not kept").select("doc_id"))
+def drop_poor(df: DataFrame, id: str = "doc_id", text: str = "text", **columns) -> DataFrame:
+    """The rows of ``df`` that are kept, whole, each judged by its own text, language and source whatever ids it shares."""
+    names = {"lang": "lang", "source": "source"} | {c: columns.pop(c) for c in ("lang", "source") if c in columns}
+    digest = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    own = F.struct(F.col(id).alias("id"), digest.alias("digest"), *[F.col(c).cast("string").alias(k) for k, c in names.items()])
+    rows = df.select(own.alias("own"), F.col(text).alias("text"), *[F.col(c).alias(k) for k, c in names.items()])
+    judged = landed(quality_rules(rows, "own", **columns).select("doc_id", "kept"), "judged")
+    return without(df, own, judged.filter("not kept").select("doc_id"))

@@ -74,3 +74,18 @@ def test_near_copies_from_four_fifths_on(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = {i for i, _, _, k in slow(rows, 80) if k}
     assert {r["doc_id"] for r in corpus_pipeline.near(spark, docs, "").collect()} == want != {i for i, _, _, k in slow(rows) if k}
+
+
+def test_rows_are_dropped_by_id_and_text(spark):
+    """Short and copied rows take no other row along that shares their id or lack of one."""
+    rng = random.Random(8)
+    one, two, three, four = (sentence(rng, 90) for _ in range(4))
+    rows = [(None, one), (None, "too short"), (5, two), (5, "short too"), (7, three), (7, four), (3, three + " end"), (9, four + " end"),
+            (None, two + " end"), (11, "a " + one + " z"), (11, "b " + one + " y")]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    passed = corpus_pipeline.quality(spark, docs, "")
+    assert sorted(((r[0], r[1]) for r in passed.collect()), key=repr) == sorted(((i, t) for i, t in rows if "short" not in t), key=repr)
+    kept = {(r[0], r[1]) for r in corpus_pipeline.near(spark, passed, "").collect()}
+    assert {(5, two), (3, three + " end"), (7, four)} == {x for x in kept if x[0] != 11} and len([x for x in kept if x[0] == 11]) == 1
+    unnamed = spark.createDataFrame([(None, one), (None, one + " end"), (None, two)], "doc_id long, text string")
+    assert corpus_pipeline.near(spark, unnamed, "").count() == 2

@@ -8,8 +8,8 @@ continuations. Beside them lie the log probabilities in 256 steps of equal width
 discounting: (c - D) / c(context) plus D * continuations / c(context) times the probability without the first word;
 below the bigrams stands (c + 0.1) / (N + 0.1 (V + 1)). D follows from the n-grams of each level that occur once and twice.
 
-Levels are files in the shared folder, cut by ranges of keys; words that are frequent as contexts are cut
-further by the following word, so no part grows with one of them. Tasks map the files they need into memory and count
+Levels are files in the shared folder, cut by ranges of keys; contexts that are frequent are cut further by the
+following word, so no part grows with one of them. Tasks map the files they need into memory and count
 or look up the sorted different keys of a slice of texts. Partial counts meet by part, compressed.
 
 Tokens are told apart by 64-bit hashes. Defined results: a null text is empty and consists of the end alone; a null id is
@@ -233,14 +233,18 @@ class Level:
             out[of] = words[number[of] - bases[k]]
         return out
 
-    def last_word(self, number: np.ndarray) -> np.ndarray:
-        out, bases = np.zeros(len(number), np.int64), np.array([p[1] for p in self.parts], np.int64)
+    def split_gram(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and last word of grams by number."""
+        out, bases = np.zeros(len(number), np.uint64), np.array([p[1] for p in self.parts], np.int64)
         part = np.searchsorted(bases, number, side="right") - 1
         for k in np.unique(part):
             of = np.flatnonzero(part == k)
             sequence, _, first = self._file(int(k))
-            out[of] = ((sequence.get(number[of] - bases[k]) + np.uint64(first)) % np.uint64(self.v)).astype(np.int64)
-        return out
+            out[of] = sequence.get(number[of] - bases[k]) + np.uint64(first)
+        return (out // np.uint64(self.v)).astype(np.int64), (out % np.uint64(self.v)).astype(np.int64)
+
+    def last_word(self, number: np.ndarray) -> np.ndarray:
+        return self.split_gram(number)[1]
 
 
 class Model:
@@ -295,8 +299,9 @@ class Model:
     def log_probability(self, number: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each token of texts that follow each other."""
         log_p = np.log10(self.base(counts))
+        end = self.words.find(np.array([END]))[0]
+        context, past_end = np.concatenate([[end], number[:-1]]), np.concatenate([[True], number[:-1] == end])
         for order, level in enumerate(self.levels, 2):
-            context = self.contexts(number, order)
             gram, own = self._grams(level, context, number)
             missing = np.flatnonzero((gram < 0) & (context >= 0))
             different, at = np.unique(context[missing], return_inverse=True)
@@ -304,20 +309,29 @@ class Model:
             lower = np.where(left > 0, np.log10(np.where(left > 0, left, 1)), 0.0)  # a context never followed by anything hands everything down
             log_p[missing] += lower[at]
             log_p[gram >= 0] = own[gram >= 0]
+            context = np.where(past_end, -1, np.concatenate([[-1], gram[:-1]]))  # as in ``contexts``: the gram that ends a word before
+            past_end = past_end | np.concatenate([[True], past_end[:-1]])
         return log_p
 
+    def shortened(self, order: int, context: np.ndarray) -> np.ndarray:
+        """The places of contexts of an order without their first word, one level below; all are grams of the training texts."""
+        level = self.levels[order - 3]
+        if order == 3:
+            return level.last_word(context)
+        before, last = level.split_gram(context)
+        return self._grams(self.levels[order - 4], self.shortened(order - 1, before), last)[0]
+
     def lower(self, order: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Probability of a word after a context of an order, one word of it dropped."""
         if order == 2:
             return self.base(self.words.counts(word))
-        short = self.levels[order - 3].last_word(context) if order == 3 else None
-        if short is None:
-            raise ValueError("models go up to order 3")
+        different, at = np.unique(context, return_inverse=True)
+        short = self.shortened(order, different)[at]
         gram, log_p = self._grams(self.levels[order - 3], short, word)
         p = 10 ** log_p
         missing = np.flatnonzero(gram < 0)
         different, at = np.unique(short[missing], return_inverse=True)
-        p[missing] = self.backoff(2, different)[at] * self.base(self.words.counts(word[missing]))
+        p[missing] = self.backoff(order - 1, different)[at] * self.lower(order - 1, short[missing], word[missing])
         return p
 
 
@@ -350,6 +364,18 @@ def _frequent(words: DataFrame, model: Callable[[], Model], least: int) -> dict[
     return {r["number"]: r["count"] for r in words.mapInArrow(task, "number long, count long").collect()}
 
 
+def _frequent_grams(files: DataFrame, before: dict[int, int], least: int) -> dict[int, int]:
+    """The same for the grams of a level, from the files of their counts; ``before`` has the grams before each part."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, path, n in zip(*(c.to_pylist() for c in batch.columns)):
+                counts = mapped(path)[:n]
+                of = np.flatnonzero(counts > least)
+                yield pa.record_batch([pa.array(before[part] + of), pa.array(counts[of].astype(np.int64))], names=["number", "count"])
+
+    return {r["number"]: r["count"] for r in files.select("part", "counts", "n").mapInArrow(task, "number long, count long").collect()}
+
+
 def _level(train: DataFrame, model: Callable[[], Model], order: int, folder: str, cuts: np.ndarray, contexts: int, v: int) -> DataFrame:
     """Keys, pointers and counts of the grams of an order: ``part``, ``path``, ``counts``, ``n``, ``once``, ``twice``."""
     def keys_of():
@@ -434,11 +460,12 @@ def learn(train: DataFrame, order: int = 2, parts: int | None = None) -> tuple[t
         wanted = min(1 << bits, contexts)
         cuts = {k * contexts // wanted * v for k in range(1, wanted)}
         split: dict[int, int] = {}
-        if n == 2:  # a frequent word has ranges of its own, by the word that follows
-            for word, count in _frequent(words, below, total // (2 << bits)).items():
-                pieces = min(v, -(-count * (1 << bits) // max(1, total)) + 1)
-                split[word] = 0
-                cuts |= {word * v + k * v // pieces for k in range(pieces)} | {(word + 1) * v}
+        least = total // (2 << bits)  # a frequent context has ranges of its own, by the word that follows
+        frequent = _frequent(words, below, least) if n == 2 else _frequent_grams(files, {p[6]: p[1] for p in placed}, least)
+        for context, count in frequent.items():
+            pieces = min(v, -(-count * (1 << bits) // max(1, total)) + 1)
+            split[context] = 0
+            cuts |= {context * v + k * v // pieces for k in range(pieces)} | {(context + 1) * v}
         cuts = np.array(sorted(c for c in cuts if 0 < c < contexts * v), np.uint64)
         files = _level(train, below, n, folder, cuts, contexts, v)
         rows = sorted(files.collect(), key=lambda r: r["part"])
@@ -462,7 +489,7 @@ def is_held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string").cast("binary")) % 10 == 0, F.lit(False))
 
 
-def score_texts(df: DataFrame, id: str = "doc_id", text: str = "text", order: int = 2, parts: int | None = None) -> DataFrame:
+def score_texts(df: DataFrame, id: str = "doc_id", text: str = "text", order: int = 3, parts: int | None = None) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of each row.
 
     Learns from the rows whose crc32 of the id's decimal form is not divisible by 10.

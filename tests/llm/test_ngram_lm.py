@@ -110,3 +110,41 @@ def test_nothing_to_learn_from(spark, nothing):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     row = score_texts(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (row["train_tokens"], row["n_known"], row["n_tokens"], row["base_score"], row["score"]) == (0, 0, 3, 0.0, 0.0)
+
+
+class SlowOfAnyOrder:
+    """Interpolated discounting by recursion over whole grams; contexts reach back to the end before a text."""
+
+    def __init__(self, texts, order):
+        self.counts = [Counter(g for t in texts for g in zip(*([None, *t][k:] for k in range(n)))) for n in range(order + 1)]
+        self.one = Counter(w for t in texts for w in t)
+        self.next = [Counter(g[:-1] for g in c) for c in self.counts]
+        self.d = [Slow.discount(c) for c in self.counts]
+
+    def p(self, context, w):
+        if not context:
+            return (self.one[w] + 0.1) / (self.one.total() + 0.1 * (len(self.one) + 1))
+        n = len(context) + 1
+        if not self.next[n][context]:
+            return self.p(context[1:], w)
+        of = self.counts[n - 1][context] if n > 2 else self.one[context[0]]
+        return (max(self.counts[n][(*context, w)] - self.d[n], 0) + self.d[n] * self.next[n][context] * self.p(context[1:], w)) / of
+
+    def score(self, t, order):
+        padded = [None, *t]
+        return sum(math.log10(self.p(tuple(padded[max(0, i - order + 2):i + 1]), w)) for i, w in enumerate(t))
+
+
+def test_orders_above_three_and_the_registered_order(spark, tmp_path):
+    from sievework.llm.queries import op10_ngram_lm
+
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(list("abcdefg"), 12)) + " of the end of the day") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {i: split(t) for i, t in rows}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    for order, got in ((4, score_texts(df, order=4)), (3, op10_ngram_lm(spark, str(tmp_path)))):
+        slow = SlowOfAnyOrder(train, order)
+        for r in got.collect():
+            assert abs(r["score"] - slow.score(texts[r["doc_id"]], order)) <= 0.02 * r["n_tokens"]

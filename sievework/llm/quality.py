@@ -31,8 +31,9 @@ from .bloom import without
 from .common import landed, sliced
 
 SYMBOLS = b"#*$%&|<>"
-#: The statistics of a vector and the least deviation each is given, so that one that is the same nearly everywhere stays usable.
-FEATURES = {"word_length": 0.05, "symbols": 0.04, "dup_lines": 0.12, "repeats": 0.12, "variety": 0.03}
+#: The statistics of a vector and the least deviation each is given, so that one that is the same nearly everywhere stays usable;
+#: small enough that each of them alone can reject a text far below what the base rules allow.
+FEATURES = {"word_length": 0.05, "symbols": 0.04, "dup_lines": 0.08, "repeats": 0.08, "variety": 0.03}
 D = len(FEATURES)
 X = [f"x{i}" for i in range(D)]
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -205,7 +206,7 @@ def robust_estimates(rows: DataFrame, groups: DataFrame, part: float = 0.75, ste
 
 def quality_rules(
     df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
-    tail: float = 1e-9, part: float = 0.75, least: int = 100,
+    tail: float = 1e-5, part: float = 0.75, least: int = 100,
 ) -> DataFrame:
     """Counts, ``base_failed``, ``distance`` (squared, null without an estimate) and ``kept`` of each row.
 

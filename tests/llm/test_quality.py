@@ -77,3 +77,23 @@ def test_odd_rows_and_stage(odd, nothing):
     assert kept.columns == odd.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r["doc_id"]) for r in odd.collect() if r["doc_id"] not in poor)
     assert quality_rules(nothing).count() == 0 and drop_poor(nothing).count() == 0
+
+
+def test_each_statistic_alone_rejects(spark):
+    rng = random.Random(6)
+    rows = [(i, sentence(rng, rng.randint(90, 160))) for i in range(300)]
+    passage = sentence(rng, 20)
+    odd = {
+        "word_length": " ".join(w * 2 for w in sentence(rng, 100).split()),
+        "symbols": " ".join(w + "#" for w in sentence(rng, 100).split()),
+        "dup_lines": "\n".join(f"{sentence(rng, 10)}\nmenu" for _ in range(12)),
+        "repeats": " ".join([sentence(rng, 30), passage, sentence(rng, 30), passage]),
+        "variety": " ".join(rng.choice("abc") + rng.choice("ddeeff") + "xy" for _ in range(100)),
+    }
+    assert set(odd) == set(FEATURES)
+    rows += [(1000 + k, t) for k, t in enumerate(odd.values())]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules(df).collect()}
+    assert [k for k, i in zip(odd, range(1000, 1005)) if got[i]["kept"]] == []
+    assert not any(got[i]["base_failed"] for i in range(1000, 1005))
+    assert all(got[i]["kept"] for i in range(300))

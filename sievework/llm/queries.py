@@ -12,6 +12,7 @@ from .ngram_lm import score_texts
 from .packing import pack
 from .pieces import encode_pieces
 from .quality import COUNTS, quality_rules
+from .spelling import spelling_variants
 from .token_files import token_files
 from .url_filter import claimed_twice, filter_urls
 from .warc import warc_round_trip
@@ -62,6 +63,10 @@ def op10_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(read(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(read(spark, folder, "documents"), typos=97)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_warc": op2_warc,
@@ -73,6 +78,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_packing": op9_packing,
     "op10_ngram_lm": op10_ngram_lm,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 ORACLES = {

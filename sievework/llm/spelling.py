@@ -35,13 +35,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import byte_texts, documents_of, join_groups, landed, sliced
 
 LETTERS = "A-Za-zÀ-ÿ"
-GROUPS = 12
+GROUPS = 16
 #: Counts that, with the length, name a shard.
 LEVELS = 3
 #: Words of one trie, and searches that one copy of it serves.
-BLOCK, SLICE = 2_048, 16_384
+BLOCK, SLICE = 2_048, 8_192
 #: A node of so few words is a leaf.
-LEAF = 8
+LEAF = 16
+#: Words of at most so many letters are compared by the thousand, longer ones singly.
+WIDE = 32
+COMPARED = 1 << 16
 #: Counts held by a task before they are passed on, and their letters.
 HELD, HELD_LETTERS = 200_000, 8_000_000
 
@@ -99,10 +102,11 @@ def letter_groups(words: DataFrame) -> list[str]:
 
 
 def _vectors(words: list[str], group_of: np.ndarray) -> np.ndarray:
-    """Counts of letters by group, a row per word."""
+    """Counts of letters by group, a row per word; above a thousand all count alike, which only brings more to compare."""
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     row = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    return np.bincount(row * GROUPS + group_of[points], minlength=len(words) * GROUPS).reshape(len(words), GROUPS)
+    counts = np.bincount(row * GROUPS + group_of[points], minlength=len(words) * GROUPS)
+    return np.minimum(counts, 1_000).astype(np.int16).reshape(len(words), GROUPS)
 
 
 class Trie:
@@ -124,7 +128,7 @@ class Trie:
 
     def search(self, vectors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of searches and words whose vectors differ by at most one surplus and one deficit."""
-        every, zero = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
+        every, zero = np.arange(len(vectors)), np.zeros(len(vectors), np.int16)
         stack = [(self.root, every, zero, zero)]
         while stack:
             (start, end, level, children), alive, surplus, deficit = stack.pop()
@@ -136,8 +140,8 @@ class Trie:
                     stack.append((child, alive[within], more[within], less[within]))
             if not children and len(alive):
                 gap = vectors[alive, None, level:] - self.vectors[None, start:end, level:]
-                more = surplus[:, None] + np.maximum(gap, 0).sum(2)
-                less = deficit[:, None] + np.maximum(-gap, 0).sum(2)
+                up, all_ = np.maximum(gap, 0).sum(2, dtype=np.int16), gap.sum(2, dtype=np.int16)
+                more, less = surplus[:, None] + up, deficit[:, None] + up - all_
                 searches, found = np.nonzero((more <= 1) & (less <= 1))
                 yield alive[searches], found + start
 
@@ -154,12 +158,67 @@ def one_apart(a: str, b: str) -> bool:
     return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i:] == b[i + 1:]
 
 
+def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of each word, padded with zeros (words longer than ``WIDE`` are cut), and the lengths."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    short = np.minimum(lengths, WIDE)
+    points = np.frombuffer("".join([w[:WIDE] for w in words]).encode("utf-32-le"), np.uint32)
+    out = np.zeros((len(words), int(short.max(initial=0)) + 1), np.min_scalar_type(int(points.max(initial=0))))
+    out[np.arange(out.shape[1]) < short[:, None]] = points
+    return out, lengths
+
+
+def _one_longer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether a letter less makes the right word the left one: they agree up to a place and, one apart, after it."""
+    a = a[:, :b.shape[1] - 1] if a.shape[1] >= b.shape[1] else np.pad(a, ((0, 0), (0, b.shape[1] - 1 - a.shape[1])))
+    shifted = a != b[:, 1:]
+    last = np.where(shifted.any(1), shifted.shape[1] - 1 - shifted[:, ::-1].argmax(1), -1)
+    differ = a != b[:, :-1]
+    return last < np.where(differ.any(1), differ.argmax(1), differ.shape[1])
+
+
+def _verified(searches: tuple, words: tuple, found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, int]]:
+    """The candidates that are one letter apart. ``searches`` and ``words``: strings, letters and lengths."""
+    (own, own_letters, own_lengths), (other, other_letters, other_lengths) = searches, words
+    both = min(own_letters.shape[1], other_letters.shape[1])
+    for s, w in found:
+        for at in range(0, len(s), COMPARED):
+            i, j = s[at:at + COMPARED], w[at:at + COMPARED]
+            gap = other_lengths[j] - own_lengths[i]
+            wide = np.maximum(own_lengths[i], other_lengths[j]) > WIDE
+            good = np.zeros(len(i), bool)
+            for kind in (0, 1, -1):
+                k = np.flatnonzero((gap == kind) & ~wide)
+                if len(k) == 0:
+                    continue
+                a, b = own_letters[i[k]], other_letters[j[k]]
+                if kind == 0:
+                    good[k] = np.count_nonzero(a[:, :both] != b[:, :both], axis=1) == 1
+                else:
+                    good[k] = _one_longer(a, b) if kind == 1 else _one_longer(b, a)
+            good[wide] = [one_apart(own[x], other[y]) for x, y in zip(i[wide].tolist(), j[wide].tolist())]
+            yield from zip(i[good].tolist(), j[good].tolist())
+
+
+def _together(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidates of several leaves at once."""
+    held, n = [], 0
+    for pair in found:
+        held.append(pair)
+        n += len(pair[0])
+        if n >= COMPARED:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, n = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def _cells(group_of: np.ndarray) -> Callable:
     """Neighbours within sorted cells: the words of a block come first and are held; searches pass by in batches."""
     schema = ["word", "n_near", "best_n", "best"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, words, ns, trie, n_of = None, [], [], None, {}
+        cell, words, ns, trie, n_of, members = None, [], [], None, {}, ()
         for batch in batches:
             keys = list(zip(*(batch.column(k).to_pylist() for k in range(3))))
             side = batch.column(3).to_numpy()
@@ -183,13 +242,13 @@ def _cells(group_of: np.ndarray) -> Callable:
                     continue
                 if trie is None:
                     trie, n_of = Trie(words, group_of), dict(zip(words, ns))
-                for searches, found in trie.search(_vectors(texts[a:b], group_of)):
-                    for s, w in zip(searches.tolist(), found.tolist()):
-                        own, other = texts[a + s], trie.words[w]
-                        if one_apart(own, other):
-                            add(own, n_of[other], other)
-                            if side[a + s] == 2:  # the other word does not search here
-                                add(other, counts[a + s], own)
+                    members = trie.words, *_letters(trie.words)
+                found = _together(trie.search(_vectors(texts[a:b], group_of)))
+                for s, w in _verified((texts[a:b], *_letters(texts[a:b])), members, found):
+                    own, other = texts[a + s], trie.words[w]
+                    add(own, n_of[other], other)
+                    if side[a + s] == 2:  # the other word does not search here
+                        add(other, counts[a + s], own)
             if near:
                 yield pa.record_batch([pa.array(near.keys(), pa.string()), pa.array([x[0] for x in near.values()], pa.int64()),
                                        pa.array([-x[1] for x in near.values()], pa.int64()), pa.array([x[2] for x in near.values()], pa.string())], names=schema)

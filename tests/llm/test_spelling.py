@@ -111,3 +111,15 @@ def test_nothing(nothing):
 @pytest.mark.parametrize("text", ["", None, "ab cd"])
 def test_no_words(spark, text):
     assert of(spark.createDataFrame([(1, text)], "doc_id long, text string")) == set()
+
+
+def test_words_compared_by_the_thousand(monkeypatch):
+    """Rows of letters against one comparison at a time, with words beyond the width."""
+    monkeypatch.setattr(spelling, "WIDE", 6)
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abé") for _ in range(rng.randint(1, 8))) for _ in range(400)})
+    import numpy as np
+    for own, other in ((words[:200], words[200:]), (words, words), ([w for w in words if len(w) < 4], words)):
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(len(own)), np.arange(len(other))))
+        got = set(spelling._verified((own, *spelling._letters(own)), (other, *spelling._letters(other)), iter([(i, j)])))
+        assert got == {(x, y) for x in range(len(own)) for y in range(len(other)) if one_apart(own[x], other[y])}

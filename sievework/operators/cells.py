@@ -121,3 +121,80 @@ def products(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple[
         values = left[start:start + strip] @ right.T
         counts = np.arange(len(right)) > np.arange(start, start + len(values))[:, None] if same else None
         yield start, values, counts
+
+
+class TokenSets:
+    """Sets of tokens of a cell: exact similarities of the pairs that sizes, positions and bins leave possible.
+
+    Tokens fall into bins by their hash. Two sets share at most the sum of the lesser bin counts; and where a token of the
+    rarest-first order brought them together first, at most that one and what the shorter rest holds. Only the pairs whose
+    bound reaches the threshold are counted, singly or, when there are many, by products of strips of terms, so the memory stays bounded.
+    """
+
+    def __init__(self, table: pa.Table, tokens: str, size: str, rest: str, threshold: float, bins: int = 64):
+        keys = table[tokens].combine_chunks()
+        self.lengths = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.n, self.rest = table[size].to_numpy().astype(np.int64), table[rest].to_numpy().astype(np.int64)
+        self.threshold, flat = threshold, keys.flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(table.num_rows), self.lengths)
+        counts = np.bincount(row * bins + (flat & (bins - 1)), minlength=table.num_rows * bins).reshape(-1, bins)
+        self.bins = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+        _, self.column, seen = np.unique(flat, return_inverse=True, return_counts=True)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        shared = seen > 1
+        use = shared[self.column]
+        self.number = (np.cumsum(shared) - 1)[self.column[use]]
+        by_term = np.argsort(self.number, kind="stable")
+        self.row, self.number = row[use][by_term], self.number[by_term]
+        self.terms = int(shared.sum())
+        self.mark = np.zeros(len(seen), bool)
+
+    def possible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of rows may be more similar than the threshold."""
+        na, nb, t = self.n[a][:, None], self.n[b][None, :], self.threshold
+        need = t / (1 + t) * (na + nb) - 1e-6
+        ok = (np.minimum(na, nb) >= t * np.maximum(na, nb) - 1e-6) & (1 + np.minimum(self.rest[a][:, None], self.rest[b][None, :]) >= need)
+        if ok.any():
+            both = np.zeros(ok.shape, np.uint16 if int(self.n.max()) < 1 << 16 else np.int64)
+            for g in range(self.bins.shape[1]):
+                both += np.minimum(self.bins[a, g][:, None], self.bins[b, g][None, :])
+            ok &= both >= need
+        return ok
+
+    def products(self, a: np.ndarray, b: np.ndarray, strip_bytes: int = 32 << 20) -> np.ndarray:
+        """Common tokens of all pairs, a strip of terms at a time."""
+        out = np.zeros((len(a), len(b)), np.float32)
+        width = max(1, strip_bytes // (4 * (len(a) + len(b))))
+        places = [np.full(len(self.n), -1) for _ in range(2)]
+        for place, rows in zip(places, (a, b)):
+            place[rows] = np.arange(len(rows))
+        for first in range(0, self.terms, width):
+            at, to = np.searchsorted(self.number, [first, first + width])
+            sides = []
+            for place, rows in zip(places, (a, b)):
+                matrix = np.zeros((len(rows), min(width, self.terms - first)), np.float32)
+                here = place[self.row[at:to]]
+                matrix[here[here >= 0], self.number[at:to][here >= 0] - first] = 1
+                sides.append(matrix)
+            out += sides[0] @ sides[1].T
+        return out
+
+    def similarities(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Jaccard similarities of pairs of rows; 0 for pairs that cannot pass the threshold."""
+        ok = self.possible(a, b)
+        total = self.n[a][:, None] + self.n[b][None, :]
+        if np.count_nonzero(ok) > 0.05 * ok.size:
+            both = self.products(a, b)
+            return np.where(ok, both / np.maximum(total - both, 1), 0.0)
+        out = np.zeros(ok.shape)
+        for i in np.flatnonzero(ok.any(1)):
+            own = self.column[self.starts[a[i]]:self.starts[a[i]] + self.lengths[a[i]]]
+            self.mark[own] = True
+            for some in np.array_split(np.flatnonzero(ok[i]), 1 + int(self.lengths[b[ok[i]]].sum()) // 4_000_000):
+                sizes = self.lengths[b[some]]
+                before = np.cumsum(sizes) - sizes
+                tokens = self.column[np.repeat(self.starts[b[some]] - before, sizes) + np.arange(int(sizes.sum()))]
+                common = np.add.reduceat(self.mark[tokens], before, dtype=np.int64)
+                out[i, some] = common / (total[i, some] - common)
+            self.mark[own] = False
+        return out

@@ -8,7 +8,7 @@ sequential rule:
    always dropped: what drops the first drops it too, else the first does.
 2. Cells of bounded size list, for each row, its few smallest earlier
    neighbours, and mark a list that was cut.
-3. Rounds over these lists settle rows: a kept earlier neighbour drops a row;
+3. Walks over ranges of these lists settle rows: a kept earlier neighbour drops a row;
    none kept, none open and no list cut keeps it. A row whose listed neighbours
    all fell while its list was cut is listed again among the rows still standing.
 
@@ -25,10 +25,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import tokens
 from ..session import checkpointed
-from .cells import BLOCK_ROWS, block_count, dense, each_cell, into_cells, run_cells, sides, sparse
+from .cells import BLOCK_ROWS, TokenSets, block_count, dense, each_cell, into_cells, run_cells, sides
 from .grouping import join_groups
+from .regions import CENTRES, ROWS_A_CENTRE, regions
 
 LISTED = 8
+#: Tokens of one block of sets.
+BLOCK_TOKENS = 4_000_000
+#: Edges of one range of ids, walked by one task.
+RANGE_EDGES = 1_000_000
 LIST_SCHEMA = "id long, other long, sim double, cut boolean"
 
 
@@ -42,21 +47,26 @@ def _neighbour_lists(similar: Callable, threshold: float, listed: int) -> Callab
         asks, stands = table["asks"].to_numpy(), table["stands"].to_numpy()
         score = similar(table)
         later, earlier, values = [], [], []
+        # guests of a bucket have met each other in their own one
+        own = table["own"].to_numpy() if "own" in table.column_names else np.ones(table.num_rows, bool)
         strip = max(1, 1_000_000 // len(high))
-        for start in range(0, len(low), strip):
-            rows = low[start:start + strip]
-            sim = score(rows, high)
-            r, c = np.nonzero(sim > threshold)
-            a, b, s = rows[r], high[c], sim[r, c]
-            if same:
-                once = ids[a] > ids[b]
-                a, b, s = a[once], b[once], s[once]
-            swap = ids[a] < ids[b]
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            use = asks[a] & stands[b]
-            later.append(ids[a[use]])
-            earlier.append(ids[b[use]])
-            values.append(s[use])
+        for side, against in ((low[own[low]], high), (low[~own[low]], high[own[high]])):
+            for start in range(0, len(side) if len(against) else 0, strip):
+                rows = side[start:start + strip]
+                sim = score(rows, against)
+                r, c = np.nonzero(sim > threshold)
+                a, b, s = rows[r], against[c], sim[r, c]
+                if same:
+                    once = ids[a] > ids[b]
+                    a, b, s = a[once], b[once], s[once]
+                swap = ids[a] < ids[b]
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
+                use = asks[a] & stands[b]
+                later.append(ids[a[use]])
+                earlier.append(ids[b[use]])
+                values.append(s[use])
+        if not later:
+            return
         j, i, s = map(np.concatenate, (later, earlier, values))
         if not len(j):
             return
@@ -72,35 +82,75 @@ def _neighbour_lists(similar: Callable, threshold: float, listed: int) -> Callab
     return work
 
 
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One walk over a range of ids in their order: settles every row whose earlier neighbours are all known by then.
+
+    Rows are edges ``id``, ``other``, with the verdict on ``other`` if an earlier round gave one; a row without ``other`` only
+    names its id. Out come verdicts (no ``other``; null where a cut list leaves the row open) and the edges still to be met.
+    """
+    verdicts: dict[int, bool] = {}
+
+    def settle(id: int, edges: list[tuple]) -> list[tuple]:
+        cut, left = any(e[1] for e in edges), []
+        for other, _, known in edges:
+            if known is None:
+                known = verdicts.get(other)
+            if known:
+                verdicts[id] = False
+                return [(id, None, cut, False)]
+            if known is None:
+                left.append(other)
+        if left:
+            return [(id, other, cut, None) for other in left]
+        if not cut:
+            verdicts[id] = True
+        return [(id, None, cut, None if cut else True)]
+
+    current, edges = None, []
+    for batch in batches:
+        out = []
+        for id, other, cut, known in zip(*(c.to_pylist() for c in batch.columns)):
+            if id != current:
+                if current is not None:
+                    out += settle(current, edges)
+                current, edges = id, []
+            if other is not None:
+                edges.append((other, cut, known))
+        yield _settled(out)
+    if current is not None:
+        yield _settled(settle(current, edges))
+
+
+def _settled(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
+    return pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["id", "other", "cut", "kept"])
+
+
 def _settle(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rounds over the neighbour lists: ``id, kept`` of the settled rows, and the ``id`` of rows whose cut lists leave them open.
 
-    A round looks only at what the one before it settled and passes on the
-    neighbours that are still open, so the tables shrink and nothing is written twice.
+    Edges are dealt by ranges of ids, and a neighbour's id is always smaller; a round walks through every range at once, so a chain within a
+    range settles in one round and there are at most as many rounds as ranges. A round writes one table and
+    passes on only the edges whose neighbour lies in an earlier range and was open there.
     """
-    whole = lists.join(lists.groupBy("id").agg(F.bool_or("cut").alias("_cut")), "id")
-    waiting = checkpointed(whole.select("id", "other", F.col("_cut").alias("cut")))
-    heads = waiting.select(F.col("other").alias("id")).distinct().join(waiting.select("id").distinct(), "id", "left_anti")
-    last = checkpointed(heads.withColumn("kept", F.lit(True)))
-    rounds = [last]
-    while not waiting.isEmpty():
-        met = waiting.join(last.select(F.col("id").alias("other"), F.col("kept").alias("_kept")), "other", "left")
-        votes = met.groupBy("id").agg(
-            F.coalesce(F.bool_or("_kept"), F.lit(False)).alias("has_kept"), F.count_if(F.col("_kept").isNull()).alias("left"), F.first("cut").alias("cut"))
-        decided = votes.filter("has_kept or left = 0").select("id", F.when(F.col("has_kept"), False).when(~F.col("cut"), True).alias("kept"))
-        settled = checkpointed(decided)
-        going = met.filter("_kept is null").select("id", "other", "cut")
-        waiting = checkpointed(going.join(settled.select("id"), "id", "left_anti"))
-        if settled.isEmpty():  # what is left waits for rows that are open themselves
-            rounds.append(waiting.select("id").distinct().withColumn("kept", F.lit(None).cast("boolean")))
-            break
-        rounds.append(settled)
-        last = settled.filter("kept is not null")
-    every = rounds[0]
-    for r in rounds[1:]:
-        every = every.unionByName(r)
-    every = checkpointed(every)
-    return every.filter("kept is not null"), every.filter("kept is null").select("id")
+    edges = lists.select("id", "other", "cut", F.lit(None).cast("boolean").alias("known"))
+    named = lists.select(F.col("other").alias("id")).distinct().select("id", F.lit(None).cast("long").alias("other"), F.lit(False).alias("cut"), F.lit(None).cast("boolean").alias("known"))
+    waiting = edges.unionByName(named)
+    ranges = max(1, -(-lists.count() // RANGE_EDGES))
+    every = open_rows = None
+    while True:
+        walked = checkpointed(waiting.repartitionByRange(ranges, "id").sortWithinPartitions("id", F.col("other").asc_nulls_first()).mapInArrow(
+            _walk, "id long, other long, cut boolean, kept boolean"))
+        settled = walked.filter("kept is not null").select("id", "kept")
+        stuck = walked.filter("other is null and kept is null").select("id")
+        every = settled if every is None else every.unionByName(settled)
+        open_rows = stuck if open_rows is None else open_rows.unionByName(stuck)
+        going = walked.filter("other is not null")
+        left = going.count()
+        if ranges == 1 or left == 0 or settled.isEmpty():  # in one range, what still waits waits for open rows
+            return every, open_rows.unionByName(going.select("id").distinct())
+        waiting = going.drop("kept").join(settled.select(F.col("id").alias("other"), F.col("kept").alias("known")), "other", "left").select("id", "other", "cut", "known")
+        ranges = max(1, -(-left // RANGE_EDGES))
 
 
 def _greedy(scan: Callable[[DataFrame | None, DataFrame | None], DataFrame]) -> DataFrame:
@@ -187,24 +237,26 @@ def _first_of_equals(rows: DataFrame, by: Sequence[str], value: str) -> DataFram
 
 def dedup_by_vector(
     df: DataFrame, id: str, vector: str, by: Sequence[str], threshold: float = 0.88, block_rows: int = BLOCK_ROWS, listed: int = LISTED,
+    centres: int = CENTRES, rows_a_centre: int = ROWS_A_CENTRE,
 ) -> DataFrame:
-    """Keep-first by cosine of unit vectors inside buckets ``by``."""
+    """Keep-first by cosine of unit vectors inside buckets ``by``.
+
+    Large buckets are dealt into regions; those too far apart for the threshold never meet.
+    """
     rows, by = _buckets(df, by)
     rows = rows.select(F.col(id).cast("long").alias("id"), *by, F.col(vector).alias("vector"))
     copies = _first_of_equals(checkpointed(rows.select("id", *by, "vector", _form(F.col("vector")).alias("_form"))), by, "vector")
-    unique = copies.filter("id = _first").drop("_first")
-    sizes = unique.groupBy(*by).agg(F.count("*").alias("_n"), block_count(F.count("*"), block_rows).alias("_blocks"))
-    total = unique.count()
+    dealt = regions(copies.filter("id = _first").drop("_first"), by, "id", "vector", block_rows, centres, rows_a_centre)
 
     def similar(table: pa.Table) -> Callable:
         matrix = dense(table, "vector")
         return lambda a, b: matrix[a] @ matrix[b].T
 
     def to_cells(flagged: DataFrame, some: bool) -> DataFrame:
-        placed = join_groups(flagged, sizes, by, "_n", total).drop("_n")
-        return into_cells(_asked(placed, by) if some else placed, by, "_blocks", "id")
+        cells = dealt.cells(threshold, rows=flagged)
+        return _asked(cells, ["_cell"]) if some else cells
 
-    dropped = _greedy(_scanner(unique, to_cells, _neighbour_lists(similar, threshold, listed)))
+    dropped = _greedy(_scanner(dealt.rows, to_cells, _neighbour_lists(similar, threshold, listed)))
     size = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return _with_copies(dropped, copies.withColumn("_size", size), F.col("_size"))
 
@@ -216,56 +268,67 @@ def prefix_length(size: Column, threshold: float) -> Column:
 
 
 def dedup_by_tokens(
-    df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn", block_rows: int = 512, listed: int = LISTED,
+    df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn", block_rows: int = BLOCK_ROWS, listed: int = LISTED,
+    meetings: int = 8,
 ) -> DataFrame:
     """Keep-first by Jaccard of token sets inside buckets ``by``.
 
-    Sets meet only in the buckets of their rarest tokens and of a band of sizes:
-    of two sets similar beyond the threshold the larger has fewer than ``1 / t``
-    times the tokens of the smaller, so it lies in the band of the smaller or in
-    the next, and a set goes to its own and the next. No pair above the threshold is lost. Blocks
-    are counted by the sets that come to a bucket, and a bucket of one set is no bucket.
+    Of two sets similar beyond the threshold the larger has fewer than ``1 / t`` times the tokens of the smaller,
+    so it lies in the size band of the smaller or in the next, and a set goes to its own band and the next. Where a set would
+    meet more than ``meetings`` blocks there, sets meet only in the buckets of their rarest tokens within the bands, if that
+    is less work. Either way no pair above the threshold is lost. Blocks are counted by rows and by tokens, and a bucket of one set is no bucket.
     """
     words = F.sort_array(F.array_distinct(tokens(text, kind)))
     rows, by = _buckets(df, by)
     rows = rows.select(F.col(id).cast("long").alias("id"), *by, words.alias("words"))
     rows = rows.withColumn("_form", F.when(F.size("words") > 0, _form(F.col("words"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit(""))))
     copies = _first_of_equals(checkpointed(rows), by, "words")
-    unique = copies.filter("id = _first").drop("_first")
-
-    spread = unique.select("id", *by, F.size("words").alias("n"), F.explode("words").alias("word"))
-    counts = spread.groupBy(*by, "word").agg(F.count("*").alias("df"))
-    total = unique.agg(F.sum(F.size("words"))).first()[0] or 0
-    ordered = join_groups(spread, counts, [*by, "word"], "df", total).groupBy("id", *by).agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "word"))).alias("w"))
-    prefix = F.slice("w", F.lit(1), prefix_length(F.col("n"), threshold))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int") if 0 < threshold < 1 else F.lit(0)
-    sets = checkpointed(ordered.select(
-        "id", *by, "n", band.alias("size"), F.transform(F.filter(prefix, lambda x: x["df"] > 1), lambda x: x["word"]).alias("rare"),
-        F.transform("w", lambda x: F.xxhash64(x["word"])).alias("set")))
-
+    sets = checkpointed(copies.filter("id = _first and size(words) > 0").withColumn("n", F.size("words")).select(
+        "id", *by, "n", band.alias("size"), "words", F.transform("words", lambda w: F.xxhash64(w)).alias("set")))
+    total = sets.count()
+    bands = F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("band")
     keys = [*by, "word", "band"]
-    spots = sets.select("id", *by, F.explode("rare").alias("word"), "size").select(
-        "id", *by, "word", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("band"))
-    crowded = checkpointed(spots.groupBy(*keys).agg(F.count("*").alias("_n"), block_count(F.count("*"), block_rows).alias("_blocks")).filter("_n > 1"))
-    placed_sets = checkpointed(join_groups(checkpointed(spots), crowded, keys, "_n", 2 * total).drop("_n"))
+
+    def crowd(spots: DataFrame) -> DataFrame:
+        blocks = F.greatest(block_count(F.count("*"), block_rows), block_count(F.sum("n"), BLOCK_TOKENS))
+        return spots.groupBy(*keys).agg(F.count("*").alias("_n"), blocks.alias("_blocks")).filter("_n > 1")
+
+    def work(crowded: DataFrame) -> float:
+        return float(crowded.agg(F.sum(F.col("_n").cast("double") ** 2)).first()[0] or 0)
+
+    spots = sets.select("id", *by, "n", F.lit("").alias("word"), F.lit(0).alias("place"), bands)
+    crowded = crowd(spots)
+    if (direct := work(crowded)) > float(meetings) * block_rows * max(1, total):
+        rare = _rare_spots(sets, by, threshold).select("id", *by, "n", "word", "place", bands)
+        fewer = checkpointed(crowd(rare))
+        if work(fewer) < direct:
+            spots, crowded = rare, fewer
+    spots = checkpointed(spots)
+    placed_sets = checkpointed(join_groups(spots, crowded, keys, "_n", spots.count()).drop("_n"))
 
     def to_cells(flagged: DataFrame, some: bool) -> DataFrame:
-        placed = placed_sets.join(flagged.select("id", "asks", "stands", "n", "size", "set"), "id")
+        placed = placed_sets.drop("n").join(flagged.select("id", "asks", "stands", "n", "size", "set"), "id")
         cells = into_cells(_asked(placed, keys) if some else placed, keys, "_blocks", "id")
-        return cells.select("_cell", "_low", "_high", "id", "asks", "stands", "n", "set")
+        return cells.select("_cell", "_low", "_high", "id", "asks", "stands", "n", (F.col("size") == F.col("band")).alias("own"),
+                            (F.col("n") - F.col("place") - 1).alias("rest"), "set")
 
     def similar(table: pa.Table) -> Callable:
-        matrix, size = sparse(table, "set"), table["n"].to_numpy().astype(np.float64)
+        return TokenSets(table, "set", "n", "rest", threshold).similarities
 
-        def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            both = matrix[a] @ matrix[b].T
-            return both / (size[a][:, None] + size[b][None, :] - both)
+    dropped = _greedy(_scanner(sets.drop("words"), to_cells, _neighbour_lists(similar, threshold, listed)))
+    return _with_copies(dropped, copies, F.lit(1.0))
 
-        return score
 
-    dropped = _greedy(_scanner(sets, to_cells, _neighbour_lists(similar, threshold, listed)))
-    return _with_copies(dropped, copies, F.lit(1.0))
+def _rare_spots(sets: DataFrame, by: Sequence[str], threshold: float) -> DataFrame:
+    """The rarest tokens of each set, as many as two sets beyond the threshold cannot both do without, with their places."""
+    spread = sets.select("id", *by, "n", "size", F.explode("words").alias("word"))
+    counts = spread.groupBy(*by, "word").agg(F.count("*").alias("df"))
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    ordered = join_groups(spread, counts, [*by, "word"], "df", total).groupBy("id", *by).agg(
+        F.first("n").alias("n"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("df", "word"))).alias("w"))
+    prefix = F.slice("w", F.lit(1), prefix_length(F.col("n"), threshold))
+    return ordered.select("id", *by, "n", "size", F.posexplode(prefix).alias("place", "x")).filter("x.df > 1").select("id", *by, "n", "size", "x.word", "place")
 
 
 def pair_text(user: Column, assistant: Column, width: int | None = None) -> Column:

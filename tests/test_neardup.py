@@ -96,3 +96,36 @@ def test_prefix_length_loses_no_pair(spark):
 def test_reason_text(spark):
     row = spark.range(1).select(neardup.reason(F.lit(7).cast("long"), F.lit(0.91234)).alias("r")).first()
     assert row["r"] == "semantic_dupe sim=0.912 vs id 7"
+
+
+@pytest.mark.parametrize("edges", [1_000_000, 200])
+def test_a_chain_and_many_ranges(spark, monkeypatch, edges):
+    """A chain of 1,000 rows, each close to the one before it alone, settles in one walk or over many ranges."""
+    monkeypatch.setattr(neardup, "RANGE_EDGES", edges)
+    rounds = []
+    monkeypatch.setattr(neardup, "checkpointed", lambda df, real=neardup.checkpointed: (rounds.append(1), real(df))[1])
+    lists = spark.createDataFrame([(i, i - 1, 0.9, False) for i in range(1, 1000)] + [(2000, 1999, 0.9, True), (2001, 2000, 0.9, False)], neardup.LIST_SCHEMA)
+    state, open_rows = neardup._settle(lists)
+    got = {r["id"]: r["kept"] for r in state.collect()}
+    assert got == {**{i: i % 2 == 0 for i in range(1000)}, 1999: True, 2000: False, 2001: True}
+    assert open_rows.count() == 0 and len(rounds) <= -(-1001 // edges) + 1
+    cut = spark.createDataFrame([(5, 3, 0.9, True), (3, 1, 0.9, False), (7, 5, 0.9, False)], neardup.LIST_SCHEMA)
+    state, open_rows = neardup._settle(cut)
+    assert {r["id"]: r["kept"] for r in state.collect()} == {1: True, 3: False} and {r["id"] for r in open_rows.collect()} == {5, 7}
+
+
+def test_regions_skip_what_is_far(spark):
+    """Clusters on the sphere: the same verdicts, and most cells never taken."""
+    from sievework.operators.regions import regions
+
+    rng = np.random.default_rng(1)
+    heads = rng.normal(size=(24, 16))
+    v = heads[rng.integers(0, 24, 1500)] + 0.15 * rng.normal(size=(1500, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[7] = 0.0
+    rows = [(i, "a" if i % 5 else "b", x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "id long, block string, v array<double>")
+    got = verdicts(neardup.dedup_by_vector(df, "id", "v", ["block"], 0.88, 64, 4, 48, 16))
+    assert got == walk(rows, lambda a, b: float(np.dot(a, b)), 0.88)
+    work = regions(df.withColumnRenamed("v", "vector"), ["block"], "id", "vector", 64, 48, 16).work(0.88).first()
+    assert work["taken"] + work["skipped"] == work["cells"] and work["skipped"] > 0.5 * work["cells"]

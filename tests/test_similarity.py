@@ -79,3 +79,27 @@ def test_kmeans_report_and_plane(spark):
     w = np.linalg.svd(c, full_matrices=False)
     want = c @ w[2][:2].T
     assert np.allclose(np.abs(p[:, 0]), np.abs(want[:, 0]), atol=1e-6)
+
+
+def test_regions_lose_no_pair(spark):
+    """Best pairs and shares over clustered, equal, zero and opposite vectors with many small regions."""
+    from sievework.operators import regions as r
+
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(12, 5))[rng.integers(0, 12, 400)] + 0.3 * rng.normal(size=(400, 5))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[3], v[5], v[9] = 0.0, v[4], -v[4]
+    df = spark.createDataFrame([(i, "x" if i % 3 else None, x.tolist()) for i, x in enumerate(v)], "id long, g string, v array<double>")
+    dealt = r.regions(df.selectExpr("id", "1 as _all", "v"), ["_all"], "id", "v", 32, 20, 10)
+    closest, least = similarity.regions_best(dealt, "id", similarity.each_cell(similarity._best("id", "v", None, 30)), 30)
+    s = np.round(np.clip(v @ v.T, -1, 1), 9)
+    want = sorted((-s[i, j], i, j) for i in range(400) for j in range(i + 1, 400))[:30]
+    assert [(x["i"], x["j"]) for x in closest.orderBy(-closest["score"], "i", "j").collect()] == [(i, j) for _, i, j in want]
+    assert least == pytest.approx(-want[-1][0]) and dealt.work(least).first()["skipped"] > 0
+    for by in ([], ["g"]):
+        got = {x["g"] if by else 0: x.asDict() for x in similarity.shares_above(df, "id", "v", by, block_rows=32).collect()}
+        for g in ({"x", None} if by else {0}):
+            of = [i for i in range(400) if not by or (i % 3 > 0) == (g == "x")]
+            p = (v[of] @ v[of].T)[np.triu_indices(len(of), 1)]
+            assert got[g]["n_pairs"] == len(p)
+            assert [got[g][c] for c in similarity.SHARES] == pytest.approx([(p > t).mean() for t in similarity.SHARES.values()], abs=1e-12)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,25 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return grouping.join_groups(rows, groups, [key], size, total, least)
 
 
+def release() -> None:
+    """Give the memory that freed arrays and batches left with the allocators back to the system, as workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``task`` that releases its memory when it ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def sliced(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of about ``size`` bytes of ``column`` (one row at least)."""
     for batch in batches:

@@ -6,7 +6,8 @@ band meet. Of a band's texts the first is compared with all others: the share of
 less the expected chance collisions estimates the similarity, pairs within five deviations of the
 threshold are verified on their full shingle sets. Where a band's texts are not in one component after that,
 those outside its largest component are compared with all its texts of other components, in cells of two
-blocks that return at most one link per part they join. So no link that joins components is lost
+blocks. A first pass sends only registers through the cells and finds the texts with a likely partner under another label; a
+second one sends the sets of these, and its cells return at most one link per part they join. So no link that joins components is lost
 within a band, and no group returns all its pairs. There are as many bands as it takes that a pair at the threshold shares
 none with a probability of at most 3e-7: 32 at 85 percent, 39 at 80.
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .bloom import among, without
-from .common import byte_texts, documents_of, join_groups, landed, sliced
+from .common import byte_texts, documents_of, join_groups, landed, sliced, tidy
 from .components import components
 from .shingles import _FACTOR, mix, shingle_sets
 
@@ -42,6 +43,8 @@ STAR_BLOCK = 128
 #: Texts of a cell: outside the largest component, and of the whole band.
 BLOCK, BAND_BLOCK = 1024, 1024
 WIDTH = 5
+#: Rows of a batch that are unpacked at once.
+RUN_ROWS = 256
 #: Expected share of registers that agree by chance, times two to the mantissa's bits, for sets of one size.
 CHANCE = 0.1699
 
@@ -127,12 +130,13 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple,
     """Rows of sorted batches by their first columns; a run is at most two blocks of rows."""
     current, rows = None, []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[:keys] != current:
-                if rows:
-                    yield current, rows
-                current, rows = row[:keys], []
-            rows.append(row[keys:])
+        for at in range(0, batch.num_rows, RUN_ROWS):
+            for row in zip(*(c.to_pylist() for c in batch.slice(at, RUN_ROWS).columns)):
+                if row[:keys] != current:
+                    if rows:
+                        yield current, rows
+                    current, rows = row[:keys], []
+                rows.append(row[keys:])
     if rows:
         yield current, rows
 
@@ -158,7 +162,26 @@ def star_pairs(pairs: DataFrame, payload: DataFrame, test: Callable[[tuple, list
                 yield pa.record_batch([pa.array([pivot] * len(passed), pa.int64()), pa.array(passed, pa.int64())], names=["pivot", "node"])
 
     return (firsts.unionByName(others).repartition("pivot", "block").sortWithinPartitions("pivot", "block", "side")
-            .mapInArrow(task, "pivot long, node long"))
+            .mapInArrow(tidy(task), "pivot long, node long"))
+
+
+def _cell_partners(percent: int) -> Callable:
+    """Texts of a cell with a likely partner under another label, told by registers and sizes alone."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (key, _, _), rows in _runs(batches, 3):
+            side, node, label, n = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+            regs = np.stack([np.frombuffer(r[4], np.uint16) for r in rows])
+            all_, met = np.flatnonzero(side != 0), np.zeros(len(rows), bool)
+            for i in np.flatnonzero(side != 1):
+                other = all_[label[all_] != label[i]]
+                other = other[likely(regs[i], regs[other], int(n[i]), n[other], percent / 100)]
+                met[other] = True
+                met[i] |= len(other) > 0
+            if met.any():
+                found = np.unique(node[met])
+                yield pa.record_batch([pa.array([key] * len(found), pa.int64()), pa.array(found)], names=["key", "node"])
+
+    return task
 
 
 def _cell_links(percent: int) -> Callable:
@@ -203,7 +226,7 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
     docs = documents_of(df, id, text)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = landed(docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text").mapInArrow(
-        _signatures(percent), f"doc_id {kind}, row long, n_shingles long, set binary, registers binary, keys array<long>"), "signatures")
+        tidy(_signatures(percent)), f"doc_id {kind}, row long, n_shingles long, set binary, registers binary, keys array<long>"), "signatures")
     total = rows.count()
     some = rows.filter("n_shingles > 0")
     nodes = landed(some.groupBy("set").agg(
@@ -227,16 +250,18 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
     def sets_of(wanted: DataFrame) -> DataFrame:
         """``node``, ``n_shingles``, ``registers`` and ``members`` of the wanted nodes, from their texts."""
         named = landed(nodes.drop("keys").join(wanted, "node", "left_semi"), "wanted")
-        sets = among(docs, F.col("doc_id"), named.select("first_id")).select("text").mapInArrow(_sets, "set binary, members binary")
+        sets = among(docs, F.col("doc_id"), named.select("first_id")).select("text").mapInArrow(tidy(_sets), "set binary, members binary")
         once = sets.join(named.select("set"), "set", "left_semi").groupBy("set").agg(F.first("members").alias("members"))
         return landed(named.join(once, "set").select("node", "n_shingles", "registers", "members"), "sets")
 
-    crowded = members.filter("n > 2")
     close = landed(star_pairs(pairs, nodes.select("node", "n_shingles", "registers"), by_estimate, ["n_shingles", "registers"]), "close")
-    sets = sets_of(close.select("node").union(close.select("pivot")).union(crowded.select("node")).distinct())
+    sets = sets_of(close.select("node").union(close.select("pivot")).distinct())
     links = landed(star_pairs(close, sets.select("node", "members"), by_sets, ["members"]).select(F.col("pivot").alias("u"), F.col("node").alias("v")), "links")
     labels = landed(components(links), "labels")
-    more = landed(_open_links(crowded, labels, sets, percent), "links")
+    # only texts with a likely partner outside their component send their sets through the bands
+    registers_ = nodes.select("node", "n_shingles", "registers")
+    open_ = landed(_open_cells(members.filter("n > 2").select("key", "node"), labels, registers_, ["n_shingles", "registers"], _cell_partners(percent), "key long, node long").distinct(), "open")
+    more = landed(_open_cells(open_, labels, sets_of(open_.select("node").distinct()), ["n_shingles", "registers", "members"], _cell_links(percent), "u long, v long"), "links")
     if not more.isEmpty():
         labels = landed(components(links.unionByName(more)), "labels")
 
@@ -253,8 +278,8 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
 
 
-def _open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components within bands, each text outside a band's largest component against all of the band."""
+def _open_cells(members: DataFrame, labels: DataFrame, payload: DataFrame, columns: list[str], task: Callable, schema: str) -> DataFrame:
+    """``task`` over the cells of bands of several components, each text outside a band's largest component against all of the band."""
     known = landed(_labelled(members, labels), "open")
     sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("rows"), F.sum("all").alias("all")).filter("top.n < rows")
@@ -268,9 +293,9 @@ def _open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     outside = F.col("label") != F.col("top")
     some = rows.filter(outside & ~one).select("key", here(F.col("blocks")).alias("block"), every("bands").alias("band"), F.lit(0).alias("side"), "node", "label")
     whole = rows.select("key", every("blocks").alias("block"), here(F.col("bands")).alias("band"), F.when(one & outside, 2).otherwise(1).alias("side"), "node", "label")
-    full = some.unionByName(whole).join(sets, "node")
-    return (full.select("key", "block", "band", "side", "node", "label", "n_shingles", "registers", "members")
-            .repartition("key", "block", "band").sortWithinPartitions("key", "block", "band").mapInArrow(_cell_links(percent), "u long, v long"))
+    full = some.unionByName(whole).join(payload, "node")
+    return (full.select("key", "block", "band", "side", "node", "label", *columns)
+            .repartition("key", "block", "band").sortWithinPartitions("key", "block", "band").mapInArrow(tidy(task), schema))
 
 
 def drop_near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:

@@ -27,9 +27,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import documents_of, landed, sliced
+from .common import documents_of, landed, sliced, tidy
 from .tokens import Encoder
 
+#: Chunks a task keeps the ids of, few enough to pack beside other stages' workers.
+KEPT = 120_000
 CAPACITY = 4096
 LARGE = 1 / 8
 GROUPS = (8, 16, 32)
@@ -206,7 +208,7 @@ def pieces(df: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: st
     kind = docs.schema["doc_id"].dataType
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, tail = Encoder(tokenizer, False), np.zeros(capacity + 1, np.int64), end.to_bytes(4, "little")
+        encode, seen, tail = Encoder(tokenizer, False, KEPT), np.zeros(capacity + 1, np.int64), end.to_bytes(4, "little")
         part = TaskContext.get().partitionId()
         for batch in sliced(batches):
             at, piece, start, length, crc, rank = [], [], [], [], [], []
@@ -227,7 +229,7 @@ def pieces(df: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: st
                 pa.array(crc, pa.int64()), pa.array([part] * len(at), pa.int32()), pa.array(rank, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
-    return docs.mapInArrow(task, f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long, part int, rank long")
+    return docs.mapInArrow(tidy(task), f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long, part int, rank long")
 
 
 def pack(df: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -250,7 +252,7 @@ def pack(df: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: str
     ranked = rows.join(before, ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return ranked.mapInArrow(task, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(task), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame, df: DataFrame, tokenizer: str, end: int, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bloom import without
-from .common import landed, sliced
+from .common import landed, sliced, tidy
 
 SYMBOLS = b"#*$%&|<>"
 #: The statistics of a vector and the least deviation each is given, so that one that is the same nearly everywhere stays usable;
@@ -87,7 +87,7 @@ def statistics(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, lang string, source string, " + ", ".join(f"{c} long" for c in COUNTS) + ", " + ", ".join(f"{x} double" for x in X)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return rows.mapInArrow(_measured, schema).withColumn("base_failed", failed)
+    return rows.mapInArrow(tidy(_measured), schema).withColumn("base_failed", failed)
 
 
 def gamma_part(a: float, x: float) -> float:

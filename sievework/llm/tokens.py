@@ -19,7 +19,7 @@ _PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS} \\t\\n\\r]*")
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_LEVEL = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 _WORD_END = re.compile(rf"{_CONTRACTIONS}|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
-#: Chunks kept between slices; beyond that the memory is emptied.
+#: Chunks, and words, kept between slices; beyond that, or beyond 32 bytes of text for each, the memory is emptied.
 KEPT = 400_000
 
 
@@ -36,7 +36,7 @@ class Encoder:
     else white space is dropped and letters are lower-cased.
     """
 
-    def __init__(self, path: str, spaces: bool):
+    def __init__(self, path: str, spaces: bool, kept: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,6 +45,7 @@ class Encoder:
         self.letters = {b: ord(c) for b, c in byte_alphabet().items()}
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held, self.kept = 0, kept
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The library's ids of whole texts."""
@@ -56,17 +57,20 @@ class Encoder:
         if out is None:
             tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
             out = self.words[word] = array("I", [t.id for t in tokens]).tobytes()
+            self.held += len(word)
         return out
 
     def _chunk(self, chunk: str) -> bytes:
         words = _BYTE_LEVEL.findall(chunk) if self.spaces else _WORD_END.findall(chunk.lower())
         out = self.chunks[chunk] = b"".join([self._word(w) for w in words])
+        self.held += len(chunk)
         return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        for memory in (self.chunks, self.words):
-            if len(memory) > KEPT:
-                memory.clear()
+        if max(len(self.chunks), len(self.words)) > self.kept or self.held > 32 * self.kept:
+            self.chunks.clear()
+            self.words.clear()
+            self.held = 0
         get, new, out, odd = self.chunks.get, self._chunk, [b""] * len(texts), []
         for k, text in enumerate(texts):
             if "<|" in text or not _PLAIN.fullmatch(text) or self.spaces and ("  " in text or text[-1:] == " "):

@@ -36,20 +36,23 @@ def maybe_among(rows: DataFrame, key: Column, keys: DataFrame, flag: str, filter
     return probed.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_block", "_bits", *[f"_w{j}" for j in range(WORDS)])
 
 
+def _probed(df: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """``row``, the whole row in one column, so that no name of its own clashes, ``own``, its key, and ``maybe``, whether the filter knows it."""
+    return maybe_among(df.select(F.struct("*").alias("row"), key.alias("own")), F.col("own"), keys, "maybe")
+
+
 def without(df: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key is not in the first column of ``gone``, null equal to null.
 
     Rows that the filter does not know pass where they lie; only the others are shuffled.
     """
-    gone = landed(gone.select(F.col(gone.columns[0]).alias("_llm_key")).distinct(), "gone")
-    probed = maybe_among(df.withColumn("_llm_own", key), F.col("_llm_own"), gone, "_llm_maybe")
-    passed = probed.filter("not _llm_maybe")
-    held = probed.filter("_llm_maybe").join(gone, F.col("_llm_own").eqNullSafe(F.col("_llm_key")), "left_anti")
-    return passed.unionByName(held).drop("_llm_own", "_llm_maybe")
+    gone = landed(gone.select(F.col(gone.columns[0]).alias("key")).distinct(), "gone")
+    probed = _probed(df, key, gone)
+    held = probed.filter("maybe").join(gone, F.col("own").eqNullSafe(F.col("key")), "left_anti")
+    return probed.filter("not maybe").unionByName(held).select("row.*")
 
 
 def among(df: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key is in the first column of ``wanted``; only rows that the filter knows are shuffled."""
-    wanted = landed(wanted.select(F.col(wanted.columns[0]).alias("_llm_key")).distinct(), "wanted")
-    probed = maybe_among(df.withColumn("_llm_own", key), F.col("_llm_own"), wanted, "_llm_maybe").filter("_llm_maybe")
-    return probed.join(wanted, F.col("_llm_own").eqNullSafe(F.col("_llm_key")), "left_semi").drop("_llm_own", "_llm_maybe")
+    wanted = landed(wanted.select(F.col(wanted.columns[0]).alias("key")).distinct(), "wanted")
+    return _probed(df, key, wanted).filter("maybe").join(wanted, F.col("own").eqNullSafe(F.col("key")), "left_semi").select("row.*")

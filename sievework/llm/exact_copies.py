@@ -141,10 +141,10 @@ def drop_copies(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     verdicts = landed(exact_copies(df, id, text).filter("group_size > 1"), "copies")
     key = lambda i, digest: F.to_json(F.struct(i.alias("i"), digest.alias("d")))
     own = key(F.col(id), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
-    named = verdicts.withColumn("_llm_key", key(F.col("doc_id"), F.col("text_sha256")))
-    stays = without(df, own, named.filter("not kept").select("_llm_key"))
+    named = verdicts.withColumn("key", key(F.col("doc_id"), F.col("text_sha256")))
+    stays = without(df, own, named.filter("not kept").select("key"))
     twice = named.filter("same_row")
     if twice.isEmpty():
         return stays
-    again = among(df, own, twice.select("_llm_key")).withColumn("_llm_row", own).dropDuplicates(["_llm_row"]).drop("_llm_row")
+    again = among(df, own, twice.select("key")).select(F.struct("*").alias("row"), own.alias("own")).dropDuplicates(["own"]).select("row.*")
     return stays.unionByName(again)

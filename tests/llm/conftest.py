@@ -5,7 +5,7 @@ import random
 import pytest
 
 #: Names that the operators use inside.
-CLASHING = ["row", "digest", "group", "label", "part", "n", "key", "length", "set", "size", "bits", "block", "node", "distance", "x0", "offset", "piece", "_llm_id"]
+CLASHING = ["row", "digest", "group", "label", "part", "n", "key", "length", "set", "size", "bits", "block", "node", "distance", "x0", "offset", "piece", "_llm_id", "_block", "_bits", "_w0", "_w7", "_key", "_row", "_llm_own", "_llm_row", "own", "maybe"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHING)
 WORDS = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one you were her all she there would their".split()
 

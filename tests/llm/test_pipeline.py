@@ -89,3 +89,12 @@ def test_rows_are_dropped_by_id_and_text(spark):
     assert {(5, two), (3, three + " end"), (7, four)} == {x for x in kept if x[0] != 11} and len([x for x in kept if x[0] == 11]) == 1
     unnamed = spark.createDataFrame([(None, one), (None, one + " end"), (None, two)], "doc_id long, text string")
     assert corpus_pipeline.near(spark, unnamed, "").count() == 2
+
+
+def test_stages_keep_columns_of_any_name(spark, odd):
+    """Columns named like those the stages use inside come through each stage with their values."""
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, "")
+        assert out.columns == odd.columns
+        rows = out.collect()
+        assert all(r[c] == "clash" for r in rows for c in ("_block", "_bits", "_w0", "_w7", "_llm_own", "own", "maybe"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sievework.operators import stats
+from sievework.operators import review, stats
 from sievework.operators.dedup import exact_duplicate_groups, exact_duplicate_members
 
 from .common import first_line, hashed, normal_form, table, tokens
@@ -189,7 +189,8 @@ _CLASS = "case when doc_id % 13 = 12 then 'x' else cast(doc_id % 13 as string) e
   from (select lang, {_CLASS} as class from documents) group by rollup (lang)""")
 def class_matrix(spark, d):
     rows = docs(spark, d).withColumn("class", F.expr(_CLASS))
-    return stats.count_matrix(rows, "lang", "class", stats.frequent_values(rows, "class")[0])
+    values, more = stats.frequent_values(rows, "class")
+    return stats.count_matrix(rows, "lang", "class", values, other="other" if more else None)
 
 
 @query("""with t as (select length(text) + length(lang) as v from documents), o as (select list_sort(list(v)) as s, count(*) as n, sum(v) as t from t)
@@ -233,3 +234,35 @@ def diversity_score(spark, d):
     return mixed.select(
         "lang", F.round(stats.diversity_score(entropy_norm=F.col("entropy_norm")), 2).alias("score"),
         F.round(stats.diversity_score(), 2).alias("score_neutral"))
+
+
+_CELLS = "select lang, source, doc_id % 13 as class, n_chars // 4000 as size from documents"
+
+
+@query(f"""with c as ({_CELLS}), g as (select grouping(lang) as a, grouping(source) as b, grouping(class) as c, grouping(size) as d, count(*) as rows from c group by cube (lang, source, class, size)),
+  s as (select a, b, c, d, count(*) as seen, max(rows) as largest, sum(rows)::bigint as rows from g group by all),
+  v as (select max(seen) filter (a = 0 and b + c + d = 3) as va, max(seen) filter (b = 0 and a + c + d = 3) as vb, max(seen) filter (c = 0 and a + b + d = 3) as vc,
+    max(seen) filter (d = 0 and a + b + c = 3) as vd from s),
+  p as (select *, (case when a = 0 then va else 1 end * case when b = 0 then vb else 1 end * case when c = 0 then vc else 1 end * case when d = 0 then vd else 1 end)::bigint as possible from s, v)
+  select concat_ws(',', case when a = 0 then 'lang' end, case when b = 0 then 'source' end, case when c = 0 then 'class' end, case when d = 0 then 'size' end) as dimensions,
+    rows, seen, possible, possible - seen as empty, round(seen / possible, 6) as covered, largest from p""")
+def coverage_matrix(spark, d):
+    rows = docs(spark, d).select("lang", "source", F.expr("doc_id % 13").alias("class"), F.expr("n_chars div 4000").alias("size"))
+    return rounded(review.coverage_matrix(rows, ["lang", "source", "class", "size"]))
+
+
+@query(f"""with c as ({_CELLS}) select a.lang, b.source, d.class from (select distinct lang from c) a, (select distinct source from c) b, (select distinct class from c) d
+  where not exists (select 1 from c where c.lang = a.lang and c.source = b.source and c.class = d.class)""")
+def coverage_gaps(spark, d):
+    rows = docs(spark, d).select("lang", "source", F.expr("doc_id % 13").alias("class"))
+    return review.empty_cells(rows, ["lang", "source", "class"])
+
+
+@query("""with s as (select lang, source, count(*) as size from documents group by all), t as (select least(120, count(*)) as n, count(*) as total from documents),
+  q as (select *, size * n // total as base, size * n % total as rest from s, t),
+  a as (select *, base + (row_number() over (order by rest desc, lang nulls first, source nulls first) <= n - sum(base) over ())::int as take from q),
+  r as (select d.doc_id, d.lang, d.source, row_number() over (partition by d.lang, d.source order by md5(concat('42|', d.doc_id)), d.doc_id) as place, a.take
+    from documents d join a on a.lang is not distinct from d.lang and a.source is not distinct from d.source)
+  select doc_id, lang, source, place from r where place <= take""")
+def review_sample(spark, d):
+    return review.review_sample(docs(spark, d), "doc_id", ["lang", "source"], 120).select("doc_id", "lang", "source", "place")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.functions import vectors
-from sievework.operators import neardup, similarity, tfidf as tf
+from sievework.operators import neardup, similarity, tfidf as tf, threshold
 
 from .common import table, tokens
 from .corpus import rounded
@@ -93,6 +93,16 @@ def emb_top_pairs(spark, d):
     return rounded(similarity.with_previews(pairs, table(spark, d, "documents"), "doc_id", "text"))
 
 
+_SHARES = """count(*) as n_pairs, round(avg((s > 0.7)::int), 9) as share_gt_70, round(avg((s > 0.8)::int), 9) as share_gt_80, round(avg((s > 0.85)::int), 9) as share_gt_85"""
+
+
+@query(f"select label, {_SHARES.replace('0.85', '0.35').replace('0.8)', '0.3)').replace('0.7)', '0.25)')} from ({_PAIRS}) where same group by label")
+def emb_shares_by_label(spark, d):
+    """Shares above lower thresholds than usual, as these vectors lie far apart."""
+    found = similarity.shares_above(embeddings(spark, d), "vec_id", "embedding", ["label"], {"share_gt_70": 0.25, "share_gt_80": 0.3, "share_gt_85": 0.35})
+    return found.select("label", "n_pairs", *[F.round(c, 9).alias(c) for c in similarity.SHARES])
+
+
 def _greedy_sql(rows, edges):
     """The rule as stated: walk the ids in order, keep a row unless an earlier
     kept one is too similar. ``edges``: id, other (earlier), sim."""
@@ -148,6 +158,20 @@ def tfidf_documents(spark, d):
     return rounded(tf.tfidf_pair_stats(table(spark, d, "documents"), "text", "doc_id", kind="term2"))
 
 
+@query(f"with {_tfidf_sql('documents', 'doc_id', 'term2', 10000)} select {_SHARES} from p")
+def tfidf_shares(spark, d):
+    """Shares of pairs above thresholds by the threshold join."""
+    rows = tf.tfidf(table(spark, d, "documents"), "text", "doc_id", kind="term2")
+    found = threshold.sparse_shares_above(rows, "doc_id", "places", "weights")
+    return found.select("n_pairs", *[F.round(c, 9).alias(c) for c in similarity.SHARES])
+
+
+@query(f"with {_tfidf_sql('documents', 'doc_id', 'term2', 10000)} select i, j, round(least(1, s), 6) as score from d where s > 0.7")
+def tfidf_close_pairs(spark, d):
+    rows = tf.tfidf(table(spark, d, "documents"), "text", "doc_id", kind="term2")
+    return rounded(threshold.close_pairs(rows, "doc_id", "places", "weights", 0.7))
+
+
 @query(f"with {_tfidf_sql('documents', 'doc_id', 'term', 10000)} select count(*) as n_pairs, round((select (power(sum(s), 1) - max(q)) from "
        f"(select power(sum(w), 2) as s, (select sum(w * w) from n) as q from n group by term)) / (2 * count(*)), 6) as mean from p")
 def tfidf_mean(spark, d):

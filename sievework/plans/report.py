@@ -25,11 +25,11 @@ def audit_markdown(audit) -> str:
     overall = audit.overall.first()
     views = audit.views.select("view", "count", "score", "sim_mean", "jaccard_mean", "distinct_2", "duplicate_rate").orderBy("view")
     parts = [
-        "# Diversity audit", f"Rows: {overall['rows']}", f"Overall diversity: **{overall['score']:.1f}/100**",
+        "# Diversity audit", f"{overall['rows']} rows, mean score of the views {overall['score']:.1f} of 100.",
         "## Views", table_markdown(views),
         "## Entropies", table_markdown(audit.entropies),
         "## Chapter coverage", table_markdown(audit.coverage),
-        "## Subject by class (counts)", table_markdown(audit.matrix),
+        "## Rows of each subject in each class", table_markdown(audit.matrix),
         "## By subject", table_markdown(audit.by_subject.orderBy("subject")),
         "## By class", table_markdown(audit.by_class.orderBy("class")),
     ]

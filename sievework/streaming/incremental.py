@@ -1,14 +1,12 @@
 """Validation as files arrive, with exact deduplication against all before.
 
 The structural rules need one record at a time, so they run on the stream as
-they are. Copies are found in either of two ways: ``without_copies`` keeps a
-state of hashes in the stream, ``run`` compares each batch with the hashes it
-has written, which also records the rejected copies and survives a replay.
+they are. Copies are found by a state of hashes in the stream: ``without_copies`` drops
+them, ``run`` also records the rejected ones and survives a replay.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
@@ -39,34 +37,42 @@ def without_copies(checked: DataFrame, time: str | None = None, delay: str = "1
     return passers.withWatermark(time, delay).dropDuplicatesWithinWatermark(["hash"])
 
 
-def _earlier(spark: SparkSession, folder: str, batch: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(folder).filter(F.col("batch") < batch).select("hash")
-    except AnalysisException:
-        return None
+#: Keeps the state of hashes on the executors' disks instead of their heaps.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def with_fresh_hashes(checked: DataFrame) -> DataFrame:
+    """The records, and a row with only ``_fresh`` for each hash of a passer that no batch had before.
+
+    The state holds one short row per hash; a batch asks it for its own hashes alone.
+    """
+    fresh = checked.filter("reason is null").select(F.col("hash").alias("_fresh")).dropDuplicates(["_fresh"])
+    return checked.unionByName(fresh, allowMissingColumns=True)
 
 
 def run(checked: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Write ``out/kept`` and ``out/rejected``, one folder per batch.
 
-    A batch replaces its own folder and looks only at earlier ones, so a replay
-    after a failure gives the same files.
+    Which hashes are new is the stream's state, so a batch costs the same however many came before it and never reads
+    what was written. Of a new hash the least id of the batch stays, and a batch replaces its own folder: a replay
+    after a failure starts from the state before it and gives the same files.
     """
     spark = checked.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        marked = mark_exact_copies(batch)
-        before = _earlier(spark, f"{out}/kept", number)
-        if before is not None:
-            seen = marked.filter("reason is null").join(before, "hash", "left_semi").select("id", F.lit(True).alias("_seen"))
-            marked = marked.join(seen, "id", "left")
-            marked = marked.withColumn("reason", F.when(F.col("_seen"), EXACT_COPY).otherwise(F.col("reason"))).drop("_seen")
+        fresh = batch.filter("_fresh is not null").select(F.col("_fresh").alias("hash"))
+        marked = mark_exact_copies(batch.filter("_fresh is null").drop("_fresh"))
+        # one row of each hash is left to ask for
+        seen = marked.filter("reason is null").select("id", "hash").join(fresh, "hash", "left_anti").select("id", F.lit(True).alias("_seen"))
+        marked = marked.join(seen, "id", "left")
+        marked = marked.withColumn("reason", F.when(F.col("_seen"), EXACT_COPY).otherwise(F.col("reason"))).drop("_seen")
         marked.filter("reason is null").drop("reason").write.mode("overwrite").parquet(f"{out}/kept/batch={number}")
         marked.filter("reason is not null").write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")
         batch.unpersist()
 
-    writer = checked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = with_fresh_hashes(checked).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

@@ -170,6 +170,31 @@ def test_stream_finds_copies_across_batches_and_replays(spark, tmp_path):
     assert incremental.results(spark, str(out)).filter(F.col("reason") == validate.BAD_JSON).count() == 2
 
 
+def test_stream_asks_its_state_and_replays_the_same_files(spark, tmp_path):
+    source, state = tmp_path / "in", tmp_path / "state"
+    source.mkdir()
+
+    def go(out):
+        query = incremental.run(incremental.checked_stream(incremental.line_stream(spark, str(source))), str(out), str(state))
+        query.awaitTermination()
+        return query
+
+    def files(out, batch):
+        return {(r["id"], r["reason"]) for r in incremental.results(spark, str(out)).collect() if r["id"] // 10 == batch}
+
+    for batch in range(3):
+        rows = [(10 * batch + k, record(user=u)) for k, u in enumerate(["same", "same", f"own {batch}", f"twice {batch}", f"twice {batch}"], 1)]
+        (source / f"{batch}.jsonl").write_text("\n".join(json.dumps({"id": i, "messages": m}) for i, m in rows))
+        query = go(tmp_path / "out")
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 7  # one short row for each hash
+    assert files(tmp_path / "out", 2) == {(21, validate.EXACT_COPY), (22, validate.EXACT_COPY), (23, None), (24, None), (25, validate.EXACT_COPY)}
+    for name in (state / "commits").iterdir():  # the last batch was not committed: it runs again, and needs nothing that was written
+        if name.name in ("2", ".2.crc"):
+            name.unlink()
+    go(tmp_path / "again")
+    assert files(tmp_path / "again", 2) == files(tmp_path / "out", 2) and not files(tmp_path / "again", 1)
+
+
 def test_clean_corpus(spark, tmp_path):
     system = "পাঠ্যসূচি বিবরণী\n- বিষয়: গণিত\n- শ্রেণি: ৭"
     long = " ".join(f"word{i}" for i in range(60))

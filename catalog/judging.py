@@ -487,6 +487,19 @@ def kmeans_report(spark, d):
     return rounded(cluster.kmeans_report(table(spark, d, "embeddings"), "vec_id", "embedding"))
 
 
+@query("""select k, count(*) as rows, count(*) as nearest from embeddings, (select unnest([10, 15, 20])::int as k) where (select count(*) from embeddings) >= 2 * k group by k""")
+def kmeans_rows(spark, d):
+    """Every row is in one cluster of each number of clusters, and no other centre is nearer: each row checked against all centres by column expressions."""
+    rows = table(spark, d, "embeddings")
+    models = cluster.kmeans(rows, "vec_id", "embedding", [k for k in (10, 15, 20) if rows.count() >= 2 * k], restarts=2)
+    found = cluster.kmeans_clusters(rows, "vec_id", "embedding", models)
+    centres = spark.createDataFrame([(k, c.tolist()) for k, (_, c) in models.items()], "k int, centres array<array<double>>")
+    gap = lambda c: F.aggregate(F.zip_with("embedding", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
+    least = F.sqrt(F.array_min(F.transform("centres", gap)))
+    met = found.join(rows, "vec_id").join(F.broadcast(centres), "k")
+    return met.groupBy("k").agg(F.count("*").alias("rows"), F.count_if(F.abs(least - F.col("away")) < 1e-6).alias("nearest"))
+
+
 @query()
 def pca_2d(spark, d):
     return rounded(cluster.plane(table(spark, d, "embeddings"), "vec_id", "embedding"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.functions import vectors
-from sievework.operators import neardup, similarity, tfidf as tf, threshold
+from sievework.operators import neardup, retrieval, similarity, tfidf as tf, threshold
 
 from .common import table, tokens
 from .corpus import rounded
@@ -187,3 +187,27 @@ def tfidf_mean(spark, d):
     "a.id < b.id left", "a.id < b.id and a.lang = b.lang left").replace("coalesce(s, 0)) as s", "coalesce(s, 0)) as s, a.lang") + f" select lang, {_STATS} from p group by lang")
 def tfidf_by_lang(spark, d):
     return rounded(tf.tfidf_pair_stats(table(spark, d, "documents"), "text", "doc_id", ["lang"]))
+
+
+# ---- retrieval -------------------------------------------------------------------
+
+@query("""with q as (select a.vec_id as query, b.vec_id as id, round(greatest(-1, least(1, list_inner_product(a.embedding::double[], b.embedding::double[]))), 9) as score
+    from embeddings a join embeddings b on a.vec_id % 25 = 0 and a.vec_id <> b.vec_id),
+  r as (select *, row_number() over (partition by query order by score desc, id) as rank from q)
+  select query, rank, id, round(score, 6) as score, source, replace(substr(text, 1, 80), chr(10), ' | ') as passage from r left join documents on doc_id = id where rank <= 5""")
+def retrieve_passages(spark, d):
+    """The five nearest passages of some vectors with their sources; all lists are asked, so the answer is exact."""
+    rows = embeddings(spark, d)
+    index = retrieval.vector_index(rows, "vec_id", "embedding", 16)
+    found = retrieval.search(index, rows.filter("vec_id % 25 = 0"), "vec_id", "embedding", 5, skip_same=True)
+    return rounded(retrieval.with_sources(found, table(spark, d, "documents"), "doc_id", "text", "source", 80))
+
+
+@query()
+def retrieve_recall(spark, d):
+    """What asking a quarter, a half and all of the lists finds of the exact answers."""
+    rows = embeddings(spark, d)
+    index, some = retrieval.vector_index(rows, "vec_id", "embedding", 16), rows.filter("vec_id % 25 = 0")
+    exact = retrieval.search(index, some, "vec_id", "embedding", 5, skip_same=True)
+    parts = [retrieval.recall(retrieval.search(index, some, "vec_id", "embedding", 5, p, skip_same=True), exact).select(F.lit(p).alias("probes"), "*") for p in (4, 8, 16)]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))

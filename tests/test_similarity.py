@@ -74,6 +74,7 @@ def test_kmeans_report_and_plane(spark):
     rows = cluster.kmeans_report(df, "id", "v", ks=(3, 40), restarts=3).collect()
     assert {r["k"] for r in rows} == {3} and sorted(r["size"] for r in rows) == [15, 15, 15]
     assert rows[0]["silhouette"] > 0.99 and rows[0]["intra_mean"] < 0.1 < rows[0]["inter_mean"]
+    assert cluster.kmeans_report(df.filter("id < 3"), "id", "v", ks=(3,)).count() == 0
     p = cluster.plane(df, "id", "v").orderBy("id").toPandas()[["x", "y"]].to_numpy()
     c = v - v.mean(0)
     w = np.linalg.svd(c, full_matrices=False)
@@ -103,3 +104,23 @@ def test_regions_lose_no_pair(spark):
             p = (v[of] @ v[of].T)[np.triu_indices(len(of), 1)]
             assert got[g]["n_pairs"] == len(p)
             assert [got[g][c] for c in similarity.SHARES] == pytest.approx([(p > t).mean() for t in similarity.SHARES.values()], abs=1e-12)
+
+
+def test_kmeans_costs_no_more_than_the_library_and_few_passes(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(25, 6))[rng.integers(0, 25, 600)] * 3 + rng.normal(size=(600, 6))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").repartition(3)
+    passes = []
+    monkeypatch.setattr(cluster, "_grouped", lambda *a, real=cluster._grouped: (passes.append(1), real(*a))[1])
+    models = cluster.kmeans(df, "id", "v", [5, 25], restarts=4)
+    assert len(passes) <= cluster.ROUNDS + cluster.STEPS + 2
+    rows = cluster._vectors(df, "id", "v")
+    for k, (cost, centres) in models.items():
+        gaps = ((v[:, None] - centres[None]) ** 2).sum(2)
+        assert cost == pytest.approx(gaps.min(1).sum()) and len(centres) == k
+        library = min(KMeans(k=k, seed=s, featuresCol="features").fit(rows).summary.trainingCost for s in range(2))
+        assert cost <= 1.05 * library
+        got = {r["id"]: (r["cluster"], r["away"]) for r in cluster.kmeans_clusters(df, "id", "v", {k: (cost, centres)}).collect()}
+        assert all(got[i][0] == gaps[i].argmin() and got[i][1] == pytest.approx(np.sqrt(gaps[i].min())) for i in range(600))

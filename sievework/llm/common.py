@@ -10,12 +10,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sievework.operators import grouping
-from sievework.session import landed, new_folder as shared  # noqa: F401  for the operators
+from sievework import session
+from sievework.session import new_folder as shared  # noqa: F401  for the operators
 
+#: Rows of an Arrow batch at most while a table is landed: texts, sets and registers are wide, and a task holds a batch on both sides.
+ARROW_ROWS = 2_000
 #: Bytes of text that one step of an Arrow task works on at once.
 STEP_BYTES = 4 << 20
 
 
+def landed(df: DataFrame, purpose: str) -> DataFrame:
+    """``session.landed`` with Arrow batches of few rows."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(min(ARROW_ROWS, int(before))) if int(before) > 0 else str(ARROW_ROWS))
+    try:
+        return session.landed(df, purpose)
+    finally:
+        conf.set(name, before)
+
+
 def documents_of(df: DataFrame, id: str, text: str) -> DataFrame:
     """Only the two columns an operator reads, under names no other column clashes with."""
     return df.select(df[id].alias("doc_id"), F.coalesce(df[text], F.lit("")).alias("text"))

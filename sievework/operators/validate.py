@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.meta import judge_context, parse_curriculum
 from ..functions.text import blank, col, content_hash, has_garbage, has_mixed_script, strip, text_issues
+from ..session import checkpointed
 
 ROLES = ("system", "user", "assistant")
 
@@ -61,20 +62,24 @@ def check_records(df: DataFrame, messages: str = "messages") -> DataFrame:
 
 
 def mark_exact_copies(checked: DataFrame, id: str = "id") -> DataFrame:
-    """Rule eight: of the passers with one hash only the first id stays.
+    """Rule eight: of the passers with one hash only the first stays, by id and, where ids repeat, by row.
 
-    First ids come from a combined aggregate and return by a join on the unique
-    id, so a hash shared by very many rows never meets in one task. Rows without
-    a hash form a group too; its first id has a reason already. (A filter on the
-    reason would only be pushed down and run the rules a second time.)
+    The checked rows are written once, so the rules and hashes are worked out once however often the rows are read.
     """
-    first = (
-        checked.groupBy("hash").agg(F.min(id).alias("_first"))
-        .select(F.col("_first"), F.lit(True).alias("_is_first"))
-    )
-    marked = checked.join(first, checked[id] == first["_first"], "left")
+    return mark_first_of_hash(checkpointed(checked.withColumn("_row", F.monotonically_increasing_id())), id)
+
+
+def mark_first_of_hash(rows: DataFrame, id: str = "id") -> DataFrame:
+    """``mark_exact_copies`` of rows that are written or kept already and carry a unique ``_row``.
+
+    First rows come from a combined aggregate and return by a join on the row, so a hash shared by very many never
+    meets in one task.
+    """
+    first = rows.filter("reason is null").groupBy("hash").agg(F.min(F.struct(id, "_row")).alias("_f")).select(
+        F.col("_f._row").alias("_row"), F.lit(True).alias("_is_first"))
+    marked = rows.join(first, "_row", "left")
     copy = F.col("reason").isNull() & F.col("_is_first").isNull()
-    return marked.withColumn("reason", F.when(copy, EXACT_COPY).otherwise(F.col("reason"))).drop("_first", "_is_first")
+    return marked.withColumn("reason", F.when(copy, EXACT_COPY).otherwise(F.col("reason"))).drop("_row", "_is_first")
 
 
 def validate_records(df: DataFrame, id: str = "id", messages: str = "messages") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators.validate import EXACT_COPY, check_records, mark_exact_copies
+from ..operators.validate import EXACT_COPY, check_records, mark_first_of_hash
 from ..sources.readers import RECORD, integrity_issue, parse_chat_lines
 
 WITH_ID = StructType([StructField("id", LongType()), *RECORD.fields])
@@ -61,9 +61,9 @@ def run(checked: DataFrame, out: str, checkpoint: str, available_now: bool = Tru
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        batch = batch.withColumn("_row", F.monotonically_increasing_id()).persist()
         fresh = batch.filter("_fresh is not null").select(F.col("_fresh").alias("hash"))
-        marked = mark_exact_copies(batch.filter("_fresh is null").drop("_fresh"))
+        marked = mark_first_of_hash(batch.filter("_fresh is null").drop("_fresh"))
         # one row of each hash is left to ask for
         seen = marked.filter("reason is null").select("id", "hash").join(fresh, "hash", "left_anti").select("id", F.lit(True).alias("_seen"))
         marked = marked.join(seen, "id", "left")

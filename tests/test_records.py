@@ -170,6 +170,15 @@ def test_stream_finds_copies_across_batches_and_replays(spark, tmp_path):
     assert incremental.results(spark, str(out)).filter(F.col("reason") == validate.BAD_JSON).count() == 2
 
 
+def test_rows_of_one_id_and_text_pass_once_and_rules_run_once(spark):
+    rows = [(1, record(user="one")), (1, record(user="one")), (1, record(user="two")), (0, record(user="TWO"))]
+    df = spark.createDataFrame(rows, "id long, messages array<struct<role:string,content:string>>").repartition(3)
+    done = validate.validate_records(df)
+    assert sorted((r["id"], r["reason"] or "") for r in done.collect()) == [(0, ""), (1, ""), (1, validate.EXACT_COPY), (1, validate.EXACT_COPY)]
+    plan = done._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan and "regexp" not in plan.lower()  # normal forms and rules lie in the written table
+
+
 def test_stream_asks_its_state_and_replays_the_same_files(spark, tmp_path):
     source, state = tmp_path / "in", tmp_path / "state"
     source.mkdir()

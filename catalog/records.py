@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sievework.functions import text as t
-from sievework.operators import dedup, validate
-from sievework.plans import audit, cleaning
+from sievework.operators import dedup, stats, validate
+from sievework.plans import audit, cleaning, report
 from sievework.session import new_folder
 from sievework.sources import readers, writers
 from sievework.streaming import incremental
@@ -352,3 +352,35 @@ def audit_by_subject(spark, d):
 @query()
 def clean_corpus(spark, d):
     return cleaning.clean_corpus(chats(spark, d)).report
+
+
+# ---- reports and sorted files ---------------------------------------------------
+
+@query("""select 'by_lang' as section, lang as value, count(*) as count from documents group by lang
+  union all select 'by_source', source, count(*) from documents group by source""")
+def summary_sections(spark, d):
+    """Sections of a report, written and read again."""
+    rows, folder = table(spark, d, "documents"), new_folder(spark, "sections")
+    writers.write_sections({f"by_{c}": stats.value_counts(rows, c).withColumnRenamed(c, "value") for c in ("lang", "source")}, folder)
+    parts = [writers.read_section(spark, folder, name, "value string, count long").select(F.lit(name).alias("section"), "value", "count") for name in ("by_lang", "by_source")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""select concat('| ', coalesce(lang, '-'), ' | ', count(*), ' | ', round(avg(length(text)))::bigint, ' |') as line from documents group by lang
+  union all select '| lang | rows | chars |' union all select '|---|---|---|'""")
+def report_lines(spark, d):
+    """A rendered table of a report, written as text and read again."""
+    rows, folder = table(spark, d, "documents"), new_folder(spark, "report")
+    report.write_markdown(report.table_markdown(rows.groupBy("lang").agg(
+        F.count("*").alias("rows"), F.round(F.avg(F.length("text"))).cast("long").alias("chars"))), folder, spark)
+    return spark.read.text(folder).withColumnRenamed("value", "line")
+
+
+@query("select doc_id, row_number() over (order by doc_id) - 1 as position from documents where length(text) < 1500")
+def sorted_output(spark, d):
+    """Rows written in the order of their ids, with the places at which the files, one after another, hold them."""
+    rows, folder = table(spark, d, "documents").filter("length(text) < 1500").select("doc_id"), new_folder(spark, "sorted")
+    writers.write_sorted_jsonl(rows.repartition(7), folder, "doc_id")
+    lines = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\n")).alias("line", "json")).filter("json <> ''")
+    sizes = lines.groupBy("file").agg(F.count("*").alias("n")).select("file", F.expr("sum(n) over (order by file) - n").alias("before"))
+    return lines.join(sizes, "file").select(F.from_json("json", "doc_id long")["doc_id"].alias("doc_id"), (F.col("before") + F.col("line")).cast("long").alias("position"))

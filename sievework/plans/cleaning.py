@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import neardup, validate
 from ..session import checkpointed
-from ..sources.writers import write_jsonl
+from ..sources.writers import write_jsonl, write_sorted_jsonl
 
 
 @dataclass
@@ -23,7 +23,7 @@ class Cleaned:
         write_jsonl(self.clean.select("messages"), f"{folder}/clean")
         write_jsonl(self.quarantine, f"{folder}/quarantine")
         write_jsonl(self.near_copies, f"{folder}/near_copies")
-        write_jsonl(self.rejected.orderBy("id"), f"{folder}/rejected")
+        write_sorted_jsonl(self.rejected, f"{folder}/rejected", "id")
         write_jsonl(self.report.coalesce(1), f"{folder}/report")
 
 

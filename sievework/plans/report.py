@@ -36,6 +36,11 @@ def audit_markdown(audit) -> str:
     return "\n\n".join(parts) + "\n"
 
 
+def write_markdown(text: str, path: str, spark) -> None:
+    """A rendered report as one text file."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def card_text(card: DataFrame, numeral_mode: str, cap: int) -> str:
     """The data card of a split as text."""
     row = card.first().asDict()

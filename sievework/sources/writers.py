@@ -19,7 +19,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_summary(sections: dict[str, DataFrame], path: str) -> None:
-    """One nested JSON row; each section is a bounded report frame."""
+    """One nested JSON row; each section is a report frame of a few rows, bounded by the report's own form."""
     whole = None
     for name, df in sections.items():
         rows = df.agg(F.collect_list(F.struct(*df.columns)).alias(name)).withColumn("_one", F.lit(1))
@@ -27,6 +27,22 @@ def write_summary(sections: dict[str, DataFrame], path: str) -> None:
     whole.drop("_one").coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
+def write_sections(sections: dict[str, DataFrame], path: str) -> None:
+    """Sections of any length as JSON Lines, a folder each, so none passes one task or the driver."""
+    for name, df in sections.items():
+        write_jsonl(df, f"{path}/{name}")
+
+
+def read_section(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    """A section that ``write_sections`` wrote."""
+    return spark.read.schema(schema).json(f"{path}/{name}")
+
+
+def write_sorted_jsonl(df: DataFrame, path: str, *keys: str) -> None:
+    """JSON Lines whose part files follow each other in the order of the keys."""
+    write_jsonl(df.orderBy(*keys), path)
+
+
 def without_control(df: DataFrame) -> DataFrame:
     """Control characters removed from every string column."""
     return df.select(*[

@@ -15,7 +15,8 @@ FOLDER = "/root/testdata/sf0.001"
 CHECKED = (
     "token_kinds", "normal_forms", "answers", "meta_pipe", "meta_context", "view_stats_by_lang", "head_coverage", "class_matrix",
     "record_validate", "jsonl_lines", "template_split", "mix_general", "half_split", "batch_numbers", "jaccard_dedup",
-    "emb_pair_stats_by_label", "emb_top_pairs", "tfidf_mean", "rouge_scores", "batch_plan", "verdict_parse", "final_report")
+    "emb_pair_stats_by_label", "emb_top_pairs", "tfidf_mean", "rouge_scores", "batch_plan", "verdict_parse", "final_report",
+    "tfidf_shares", "coverage_matrix", "review_sample", "summary_sections", "sorted_output")
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are not here")
 

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.llm.quality import D, FEATURES, chi2_quantile, consistency, drop_poor, measure, quality_rules
+from sievework.llm.quality import D, FEATURES, PRIOR, blended, chi2_quantile, consistency, drop_poor, measure, quality_rules
 
 from .conftest import sentence
 
@@ -48,8 +48,26 @@ def brute_estimate(x, part=0.75, steps=50):
     gap = x - center
     d = np.einsum("ij,jk,ik->i", gap, precision, gap)
     near = x[d <= chi2_quantile(0.975, D)]
-    gap = x - near.mean(axis=0)
-    return np.einsum("ij,jk,ik->i", gap, np.linalg.inv(np.cov(near.T, bias=True) + np.diag(floor ** 2)), gap)
+    return near.mean(axis=0), np.cov(near.T, bias=True) + np.diag(floor ** 2)
+
+
+def brute_distances(x, keys, own=25.0):
+    """Distances from estimates of table, language and source, each weighed against the wider ones."""
+    out = np.zeros(len(x))
+    for key in set(keys):
+        center, scatter = None, np.diag((PRIOR * np.array(list(FEATURES.values()))) ** 2)
+        for level in range(3):
+            rows = x[[k[:level] == key[:level] for k in keys]]
+            c, s = brute_estimate(rows)
+            if center is None:
+                center = c
+            w, gap = len(rows) ** 2 / (len(rows) ** 2 + own ** 2), c - center
+            scatter = w * s + (1 - w) * scatter + w * (1 - w) * np.outer(gap, gap)
+            center = w * c + (1 - w) * center
+        at = [k == key for k in keys]
+        gap = x[at] - center
+        out[at] = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(scatter), gap)
+    return out
 
 
 def test_outliers_of_their_own_group(spark):
@@ -62,11 +80,37 @@ def test_outliers_of_their_own_group(spark):
         rows.append((i, text, "en", "big" if i < 500 else f"small{i % 4}" if i < 690 else None))
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r["doc_id"]: r for r in quality_rules(df).collect()}
-    assert all(got[i]["kept"] == (i % 25 != 0) for i in range(690))
-    x = np.array([[got[i][f"x{k}"] for k in range(D)] for i in range(500)])
-    slow = brute_estimate(x)
-    fast = np.array([got[i]["distance"] for i in range(500)])
+    assert all(got[i]["kept"] == (i % 25 != 0) for i in range(700))
+    slow = brute_distances(np.array([[got[i][f"x{k}"] for k in range(D)] for i in range(700)]), [(r[2], r[3]) for r in rows])
+    fast = np.array([got[i]["distance"] for i in range(700)])
     assert np.corrcoef(np.log(slow + 1), np.log(fast + 1))[0, 1] > 0.99
+    assert ((slow > chi2_quantile(1 - 1e-5, D)) == (fast > chi2_quantile(1 - 1e-5, D))).all()
+
+
+def test_small_sources_are_judged_like_large_ones(spark):
+    """The same outlier goes and the same clean text stays in sources of 1, 2, 5, 20 and 150 rows, and in a language of one row."""
+    rng = random.Random(9)
+    bad = " ".join(w + "***" for w in sentence(rng, 100).split())
+    rows = [(f"s{n}", "en", sentence(rng, rng.randint(60, 200))) for n in (1, 2, 5, 20, 150) for _ in range(n - 1)]
+    rows += [(f"s{n}", "en", bad) for n in (1, 2, 5, 20, 150)] + [("lone", "de", sentence(rng, 120)), ("lone", "fr", bad), (None, None, bad)]
+    df = spark.createDataFrame([(i, t, lang, s) for i, (s, lang, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules(df).collect()}
+    assert all(got[i]["kept"] == (t != bad) for i, (_, _, t) in enumerate(rows))
+
+
+def test_few_rows_reject_little(spark):
+    rng = random.Random(10)
+    rows = [(i, sentence(rng, rng.randint(60, 90)) + "\nmenu\nmenu", "en", "s") for i in range(3)] + [(3, sentence(rng, 70), "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert all(r["kept"] and r["distance"] is not None for r in quality_rules(df).collect())
+
+
+def test_a_mixture_has_the_moments_of_its_rows():
+    rng = np.random.default_rng(1)
+    one, two = rng.normal(size=(30, D)), rng.normal(2.0, 3.0, size=(30, D))
+    center, scatter = blended([(10 ** 9, one.mean(0), np.cov(one.T, bias=True)), (30, two.mean(0), np.cov(two.T, bias=True))], 30.0)
+    both = np.concatenate([one, two])
+    assert np.allclose(center, both.mean(0)) and np.allclose(scatter, np.cov(both.T, bias=True))
 
 
 def test_odd_rows_and_stage(odd, nothing):

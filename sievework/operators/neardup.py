@@ -245,7 +245,10 @@ def dedup_by_vector(
     """
     rows, by = _buckets(df, by)
     rows = rows.select(F.col(id).cast("long").alias("id"), *by, F.col(vector).alias("vector"))
-    copies = _first_of_equals(checkpointed(rows.select("id", *by, "vector", _form(F.col("vector")).alias("_form"))), by, "vector")
+    size = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    # a vector that does not reach the threshold with itself is no copy of its equals
+    form = F.when(size > threshold, _form(F.col("vector"))).otherwise(F.col("id").cast("string"))
+    copies = _first_of_equals(checkpointed(rows.select("id", *by, "vector", F.coalesce(form, F.lit("")).alias("_form"))), by, "vector")
     dealt = regions(copies.filter("id = _first").drop("_first"), by, "id", "vector", block_rows, centres, rows_a_centre)
 
     def similar(table: pa.Table) -> Callable:
@@ -257,7 +260,6 @@ def dedup_by_vector(
         return _asked(cells, ["_cell"]) if some else cells
 
     dropped = _greedy(_scanner(dealt.rows, to_cells, _neighbour_lists(similar, threshold, listed)))
-    size = F.aggregate("vector", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     return _with_copies(dropped, copies.withColumn("_size", size), F.col("_size"))
 
 

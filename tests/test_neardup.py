@@ -1,10 +1,11 @@
 """The keep-first rule against the rule written as a loop."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators import neardup
+from sievework.operators import cells, neardup
 
 
 def walk(rows, similar, threshold):
@@ -129,3 +130,27 @@ def test_regions_skip_what_is_far(spark):
     assert got == walk(rows, lambda a, b: float(np.dot(a, b)), 0.88)
     work = regions(df.withColumnRenamed("v", "vector"), ["block"], "id", "vector", 64, 48, 16).work(0.88).first()
     assert work["taken"] + work["skipped"] == work["cells"] and work["skipped"] > 0.5 * work["cells"]
+
+
+def test_cells_stay_whole_behind_a_join(spark):
+    """A join on the cell that turns into a broadcast at run time leaves no cell in two tasks."""
+    def sizes(table, bounds):
+        yield pa.RecordBatch.from_arrays([pa.array(np.diff(bounds).astype(np.int64))], names=["n"])
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 2000, 1, 7).select("id", (F.col("id") % 50).cast("string").cast("binary").alias("_cell"))
+        asked = rows.filter("id < 40").select("_cell").distinct()
+        found = [r.n for r in cells.run_cells(rows.join(asked, "_cell", "left_semi"), sizes, "n long").collect()]
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert sorted(found) == [40] * 40
+
+
+def test_zero_vectors_are_no_copies(spark):
+    """Equal rows of no length are not similar beyond a threshold, so both stay."""
+    df = spark.createDataFrame([(1, "a", [0.0, 0.0]), (2, "a", [0.0, 0.0]), (3, "a", [1.0, 0.0]), (4, "a", [1.0, 0.0])], "id long, block string, v array<double>")
+    assert verdicts(neardup.dedup_by_vector(df, "id", "v", ["block"], 0.88)) == {1: (True, None), 2: (True, None), 3: (True, None), 4: (False, 3)}

@@ -235,3 +235,14 @@ def test_tuning_set(spark, tmp_path):
     again = tuning.build_tuning_set(df.repartition(5), identity=[("who?", "me")], system="sys")
     assert {r["messages"][1]["content"] for r in again.held_out.collect()} == {r["messages"][1]["content"] for r in done.held_out.collect()}
     assert tuning.training_texts(done.train).first()["text"].startswith("<|system|>\nsys")
+
+
+def test_stream_over_a_table_in_many_files(spark, tmp_path):
+    from catalog import records
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    folder = str(tmp_path / "tables")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    got = {r["id"]: r["reason"] for r in records.stream_validate(spark, folder).collect()}
+    want = {r["id"]: r["reason"] for r in records.stream_validate(spark, "/root/testdata/sf0.001").collect()}
+    assert got == want and len(got) == docs.count()

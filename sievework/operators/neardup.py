@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import tokens
 from ..session import checkpointed
-from .cells import BLOCK_ROWS, TokenSets, block_count, dense, each_cell, into_cells, run_cells, sides
+from .cells import BLOCK_ROWS, Buckets, TokenSets, block_count, dense, each_cell, sides
 from .grouping import join_groups
 from .regions import CENTRES, ROWS_A_CENTRE, regions
 
@@ -196,16 +196,17 @@ def _with_copies(dropped: DataFrame, copies: DataFrame, self_sim: Column) -> Dat
     )
 
 
-def _scanner(rows: DataFrame, to_cells: Callable[[DataFrame, bool], DataFrame], work: Callable) -> Callable:
+def _scanner(rows: DataFrame, run: Callable[[DataFrame, bool], DataFrame]) -> Callable:
+    """``run`` lists neighbours among flagged rows, with its second argument only in cells in which a row asks."""
     def scan(asking: DataFrame | None, fallen: DataFrame | None) -> DataFrame:
         if asking is None:
             flagged = rows.withColumn("asks", F.lit(True)).withColumn("stands", F.lit(True))
-        else:  # rows that were dropped stay away, and so do buckets in which no row asks
+        else:  # rows that were dropped stay away, and so do cells in which no row asks
             standing = rows.join(fallen, "id", "left_anti").withColumn("stands", F.lit(True))
             asked = rows.join(asking, "id", "left_semi").select("id", F.lit(True).alias("asks"))
             flagged = standing.join(asked, "id", "left").na.fill({"asks": False}).unionByName(
                 rows.join(fallen, "id", "left_semi").join(asked, "id").withColumn("stands", F.lit(False)))
-        return run_cells(to_cells(flagged, asking is not None), each_cell(work), LIST_SCHEMA).groupBy("id", "other").agg(
+        return run(flagged, asking is not None).groupBy("id", "other").agg(
             F.max("sim").alias("sim"), F.bool_or("cut").alias("cut"))
 
     return scan
@@ -255,11 +256,10 @@ def dedup_by_vector(
         matrix = dense(table, "vector")
         return lambda a, b: matrix[a] @ matrix[b].T
 
-    def to_cells(flagged: DataFrame, some: bool) -> DataFrame:
-        cells = dealt.cells(threshold, rows=flagged)
-        return _asked(cells, ["_cell"]) if some else cells
+    def run(flagged: DataFrame, some: bool) -> DataFrame:
+        return dealt.run(each_cell(_neighbour_lists(similar, threshold, listed)), LIST_SCHEMA, threshold, rows=flagged, asked=some)
 
-    dropped = _greedy(_scanner(dealt.rows, to_cells, _neighbour_lists(similar, threshold, listed)))
+    dropped = _greedy(_scanner(dealt.rows, run))
     return _with_copies(dropped, copies.withColumn("_size", size), F.col("_size"))
 
 
@@ -306,19 +306,19 @@ def dedup_by_tokens(
         fewer = checkpointed(crowd(rare))
         if work(fewer) < direct:
             spots, crowded = rare, fewer
-    spots = checkpointed(spots)
+    spots, crowded = checkpointed(spots), checkpointed(crowded)
     placed_sets = checkpointed(join_groups(spots, crowded, keys, "_n", spots.count()).drop("_n"))
 
-    def to_cells(flagged: DataFrame, some: bool) -> DataFrame:
-        placed = placed_sets.drop("n").join(flagged.select("id", "asks", "stands", "n", "size", "set"), "id")
-        cells = into_cells(_asked(placed, keys) if some else placed, keys, "_blocks", "id")
-        return cells.select("_cell", "_low", "_high", "id", "asks", "stands", "n", (F.col("size") == F.col("band")).alias("own"),
-                            (F.col("n") - F.col("place") - 1).alias("rest"), "set")
-
     def similar(table: pa.Table) -> Callable:
         return TokenSets(table, "set", "n", "rest", threshold).similarities
 
-    dropped = _greedy(_scanner(sets.drop("words"), to_cells, _neighbour_lists(similar, threshold, listed)))
+    def run(flagged: DataFrame, some: bool) -> DataFrame:
+        placed = placed_sets.drop("n").join(flagged.select("id", "asks", "stands", "n", "size", "set"), "id")
+        rows = (_asked(placed, keys) if some else placed).select(
+            *keys, "_blocks", "id", "asks", "stands", "n", (F.col("size") == F.col("band")).alias("own"), (F.col("n") - F.col("place") - 1).alias("rest"), "set")
+        return Buckets(rows, crowded, keys, "_blocks", "id").run(each_cell(_neighbour_lists(similar, threshold, listed)), LIST_SCHEMA)
+
+    dropped = _greedy(_scanner(sets.drop("words"), run))
     return _with_copies(dropped, copies, F.lit(1.0))
 
 

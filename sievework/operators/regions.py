@@ -3,22 +3,23 @@
 Rows are dealt by the nearest of a bounded sample of centres. A region (the rows of a bucket
 at one centre) has a radius, the largest angle to its centre, so two rows of different regions are at least the
 centres' angle less both radii apart, and their product is at most the cosine of that. Only pairs of regions whose bound
-reaches a threshold become cells; rows are copied to those cells alone. Nothing above the threshold is lost, and
+reaches a threshold become cells. Nothing above the threshold is lost, and
 where rows lie in clusters most pairs of regions never meet. Vectors without any cluster keep all their cells.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from ..session import checkpointed
-from .cells import BLOCK_ROWS, block_count
+from .cells import BLOCK_ROWS, Blocks, block_count, part_name, run_cells, whole_cells
 from .grouping import join_groups
 
 #: The most centres, and the rows that call for one more.
@@ -73,30 +74,47 @@ class Regions:
     table: DataFrame
     pairs: DataFrame
     total: int
+    blocks: Blocks | None = None
 
-    def cells(self, threshold: float | None = None, which: str = "true", rows: DataFrame | None = None, id: str = "id") -> DataFrame:
-        """Rows copied to the cells of the region pairs that may reach ``threshold``, as ``cells.into_cells`` does.
+    def run(
+        self, work: Callable[[pa.Table, np.ndarray], Iterable[pa.RecordBatch]], schema: StructType | str, threshold: float | None = None, which: str = "true",
+        rows: DataFrame | None = None, id: str = "id", asked: bool = False,
+    ) -> DataFrame:
+        """``work`` on the cells of the region pairs that may reach ``threshold``; a bucket of one block's size is one cell.
 
-        ``which`` chooses region pairs by ``bound`` and ``same``. ``rows`` (default: all) have the columns of the regions' rows and more.
+        ``which`` chooses region pairs by ``bound`` and ``same``. ``rows`` (default: all) have the columns of the regions' rows and more;
+        with ``asked`` only cells in which a row ``asks`` are met. Without other rows, the blocks are written once for all runs.
         """
-        rows, keys = self.rows if rows is None else rows, [*self.bucket, "_centre"]
+        keys = [*self.bucket, "_centre"]
         chosen = self.pairs.filter(which) if threshold is None else self.pairs.filter(which).filter((F.col("bound") >= threshold) | F.col("same"))
-        both = chosen.select(*self.bucket, F.col("a").alias("_centre"), F.col("b").alias("other"), F.col("b_blocks").alias("blocks")).unionByName(
-            chosen.filter("not same").select(*self.bucket, F.col("b").alias("_centre"), F.col("a").alias("other"), F.col("a_blocks").alias("blocks")))
-        partners = both.groupBy(*keys).agg(F.collect_list(F.struct("other", "blocks")).alias("_with"))
-        known = self.table.select(*keys, "_rows", "_blocks", "_small").join(partners, keys)
-        met = join_groups(rows, known, keys, "_rows", self.total)
-        kept = [c for c in rows.columns if c not in ("_centre", "_angle", "_norm")]
-        name = lambda *parts: F.unhex(F.md5(F.to_json(F.struct(*self.bucket, *parts))))
-        small = met.filter("_small").select(*kept, name(F.lit(-1).alias("l")).alias("_cell"), F.lit(True).alias("_low"), F.lit(True).alias("_high"))
-        own = F.pmod(F.xxhash64(id), F.col("_blocks")).cast("int").alias("_block")
-        spread = met.filter("not _small").select(*kept, "_centre", own, F.explode("_with").alias("_p")).select(
-            *kept, "_centre", "_block", F.col("_p.other").alias("_other"), F.explode(F.sequence(F.lit(0), F.col("_p.blocks") - 1)).alias("_to"))
-        first = F.struct(F.col("_centre").alias("c"), F.col("_block").alias("k"))
-        second = F.struct(F.col("_other").alias("c"), F.col("_to").alias("k"))
-        low, high = F.least(first, second), F.greatest(first, second)
-        large = spread.select(*kept, name(low.alias("l"), high.alias("h")).alias("_cell"), (first == low).alias("_low"), (first == high).alias("_high"))
-        return small.unionByName(large)
+        met = join_groups(self.rows if rows is None else rows, self.table.select(*keys, "_rows", "_blocks", "_small"), keys, "_rows", self.total)
+        dropped = ("_angle", "_norm", "_rows", "_blocks", "_small", "_centre")
+        block = F.pmod(F.xxhash64(id), F.col("_blocks")).cast("int")
+        own = whole_cells(met.filter("_small").drop(*dropped), self.bucket)
+        if which.startswith("not same"):
+            own = own.filter(F.lit(False))
+        if asked:
+            own = own.join(own.filter("asks").select("_cell").distinct(), "_cell", "left_semi")
+        found = run_cells(own, work, schema)
+        if self.table.filter("not _small").isEmpty():
+            return found
+        if rows is not None or self.blocks is None:
+            blocks = Blocks(met.filter("not _small").withColumn("part", part_name(keys, block)).drop(*dropped))
+            if rows is None:
+                self.blocks = blocks
+        else:
+            blocks = self.blocks
+        a, b = F.col("_i"), F.col("_j")
+        pairs = chosen.join(self.table.filter("_small").select(*self.bucket).distinct(), self.bucket, "left_anti").select(
+            "*", F.explode(F.sequence(F.lit(0), F.col("a_blocks") - 1)).alias("_i")).select(
+            "*", F.explode(F.sequence(F.when(F.col("same"), F.col("_i")).otherwise(0), F.col("b_blocks") - 1)).alias("_j"))
+        part = lambda centre, k: part_name([*[F.col(c) for c in self.bucket], F.col(centre).alias("_centre")], k)
+        pairs = pairs.select(part("a", a).alias("a"), part("b", b).alias("b"))
+        if asked:
+            names = checkpointed(met.filter("asks and not _small").select(part_name(keys, block).alias("_p")).distinct())
+            sides = [names.select(F.col("_p").alias(x), F.lit(True).alias(f"_{x}")) for x in "ab"]
+            pairs = pairs.join(sides[0], "a", "left").join(sides[1], "b", "left").filter("_a or _b").select("a", "b")
+        return found.unionByName(blocks.run(pairs, work, schema))
 
     def work(self, threshold: float) -> DataFrame:
         """``cells`` of all pairs of blocks, and those ``taken`` and ``skipped`` at a threshold."""
@@ -112,9 +130,9 @@ def regions(rows: DataFrame, bucket: Sequence[str], id: str, vector: str, block_
     at = centres(rows, id, vector, most, rows_a_centre)
     placed = checkpointed(with_centre(rows, vector, at))
     whole = Window.partitionBy(*bucket)
-    table = placed.groupBy(*bucket, "_centre").agg(
+    table = checkpointed(placed.groupBy(*bucket, "_centre").agg(
         F.count("*").alias("_rows"), F.max("_angle").alias("_radius"), F.max("_norm").alias("_norm"), block_count(F.count("*"), block_rows).alias("_blocks")).withColumn(
-        "_small", F.sum("_rows").over(whole) <= block_rows)
+        "_small", F.sum("_rows").over(whole) <= block_rows))
     between = _angles(at @ at.T) if len(at) else np.zeros((1, 1))
 
     @F.arrow_udf("double")

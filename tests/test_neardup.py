@@ -154,3 +154,18 @@ def test_zero_vectors_are_no_copies(spark):
     """Equal rows of no length are not similar beyond a threshold, so both stay."""
     df = spark.createDataFrame([(1, "a", [0.0, 0.0]), (2, "a", [0.0, 0.0]), (3, "a", [1.0, 0.0]), (4, "a", [1.0, 0.0])], "id long, block string, v array<double>")
     assert verdicts(neardup.dedup_by_vector(df, "id", "v", ["block"], 0.88)) == {1: (True, None), 2: (True, None), 3: (True, None), 4: (False, 3)}
+
+
+def test_blocks_are_written_once(spark):
+    """A bucket of many blocks and one of a single block: every pair is met once, every row of the large one is written once."""
+    def count(table):
+        low, high, same = cells.sides(table)
+        yield pa.RecordBatch.from_arrays([table["g"][:1].combine_chunks(), pa.array([len(low) * (len(low) - 1) // 2 if same else len(low) * len(high)])], names=["g", "n"])
+
+    rows = spark.range(230).select("id", F.when(F.col("id") < 200, F.lit("large")).alias("g"))
+    groups = rows.groupBy("g").agg(cells.block_count(F.count("*"), 30).alias("k"))
+    placed = rows.withColumn("k", F.when(F.col("g").isNotNull(), 7).otherwise(1))
+    buckets = cells.Buckets(placed, groups, ["g"], "k", "id")
+    found = buckets.run(cells.each_cell(count), "g string, n long")
+    assert {r["g"]: r["n"] for r in found.groupBy("g").agg(F.sum("n").alias("n")).collect()} == {"large": 199 * 100, None: 29 * 15}
+    assert spark.read.parquet(buckets.large.folder).count() == 200

@@ -21,13 +21,7 @@ STEP_BYTES = 4 << 20
 
 def landed(df: DataFrame, purpose: str) -> DataFrame:
     """``session.landed`` with Arrow batches of few rows."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(name)
-    conf.set(name, str(min(ARROW_ROWS, int(before))) if int(before) > 0 else str(ARROW_ROWS))
-    try:
-        return session.landed(df, purpose)
-    finally:
-        conf.set(name, before)
+    return session.landed(df, purpose, ARROW_ROWS)
 
 
 def documents_of(df: DataFrame, id: str, text: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """Examples from the published description of the algorithm."""
 
+import pyarrow as pa
 import pytest
 
-from sievework.functions import scores
+from pyspark.sql import functions as F
+
+from sievework.functions import scores, stems
 from sievework.functions.stems import porter_stems, stem
 
 
@@ -25,3 +28,13 @@ def test_stemmed_rouge(spark):
     df = spark.createDataFrame([("the dogs were running", "the dog was running"), ("hopping cats", "hopped cat")], "r string, h string")
     got = [r["x"]["rouge1"] for r in df.select(scores.rouge("r", "h", stemmer=porter_stems).alias("x")).collect()]
     assert got == [pytest.approx(0.75), pytest.approx(1.0)]
+
+
+def test_each_token_of_a_batch_is_stemmed_once(spark, monkeypatch):
+    rows = [(0, ["running", None, "the"]), (1, None), (2, []), (3, ["running", "hopping"])]
+    df = spark.createDataFrame(rows, "i int, w array<string>").coalesce(1)
+    assert [r["s"] for r in df.orderBy("i").select(porter_stems(F.col("w")).alias("s")).collect()] == [["run", None, "the"], None, [], ["run", "hop"]]
+    seen = []
+    monkeypatch.setattr(stems, "stem", lambda w: seen.append(w) or stem(w))
+    assert stems._stems.func(pa.array([["running", "cats"] * 3, ["running"]])).to_pylist() == [["run", "cat"] * 3, ["run"]]
+    assert sorted(seen) == ["cats", "running"]

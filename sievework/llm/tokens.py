@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 _MARKS = "!-/:-@\\[-`{-~¡-©«¬®-±´¶-¸»¿×÷‐-‧"
@@ -29,6 +30,17 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in prints)}
 
 
+class _Memory(dict):
+    """Chunks and their ids; a new chunk is encoded when it is first looked up."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        out = self[chunk] = self.encode(chunk)
+        return out
+
+
 class Encoder:
     """Encodes lists of texts to bytes of little-endian unsigned 32-bit ids.
 
@@ -43,8 +55,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.spaces = spaces
         self.letters = {b: ord(c) for b, c in byte_alphabet().items()}
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Memory(self._word)
+        # with ``spaces`` a text's first chunk has no space before it, the others have
+        self.firsts = _Memory(self._chunk)
+        self.chunks = _Memory(lambda c: self._chunk(" " + c)) if spaces else self.firsts
         self.held, self.kept = 0, kept
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -53,35 +67,32 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """The model's ids of one pre-token."""
-        out = self.words.get(word)
-        if out is None:
-            tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-            out = self.words[word] = array("I", [t.id for t in tokens]).tobytes()
-            self.held += len(word)
-        return out
+        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        self.held += len(word)
+        return array("I", [t.id for t in tokens]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        words = _BYTE_LEVEL.findall(chunk) if self.spaces else _WORD_END.findall(chunk.lower())
-        out = self.chunks[chunk] = b"".join([self._word(w) for w in words])
+        if not self.spaces:
+            chunk = chunk.lower()
+        if chunk[chunk[:1] == " ":].isalpha():  # a chunk of letters is one pre-token
+            return self._word(chunk)
         self.held += len(chunk)
-        return out
+        return b"".join([self.words[w] for w in (_BYTE_LEVEL if self.spaces else _WORD_END).findall(chunk)])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if max(len(self.chunks), len(self.words)) > self.kept or self.held > 32 * self.kept:
-            self.chunks.clear()
-            self.words.clear()
+        if max(len(self.chunks), len(self.firsts), len(self.words)) > self.kept or self.held > 32 * self.kept:
+            for memory in (self.chunks, self.firsts, self.words):
+                memory.clear()
             self.held = 0
-        get, new, out, odd = self.chunks.get, self._chunk, [b""] * len(texts), []
+        ids, first, out, odd = self.chunks.__getitem__, self.firsts.__getitem__, [b""] * len(texts), []
         for k, text in enumerate(texts):
             if "<|" in text or not _PLAIN.fullmatch(text) or self.spaces and ("  " in text or text[-1:] == " "):
                 odd.append(k)
-                continue
-            if self.spaces:
-                first, *rest = text.split(" ")
-                chunks = [first, *[" " + c for c in rest]]
+            elif self.spaces:
+                chunks = text.split(" ")
+                out[k] = b"".join([first(chunks[0]), *map(ids, chunks[1:])])
             else:
-                chunks = text.split()
-            out[k] = b"".join([get(c) or new(c) for c in chunks])
-        for k, ids in zip(odd, self.whole([texts[k] for k in odd])):
-            out[k] = ids
+                out[k] = b"".join(map(ids, text.split()))
+        for k, found in zip(odd, self.whole([texts[k] for k in odd])):
+            out[k] = found
         return out

@@ -68,3 +68,11 @@ def test_a_document_longer_than_a_stride(tmp_path):
     found = list(Reader(pa.OSFile(str(path))).documents())
     assert [(k, s, sum(map(len, p))) for k, s, p in found] == [(None, 0, len(ids)), (1, len(ids), 0), (2, len(ids), 5)]
     assert (np.concatenate(found[0][2]) == ids).all()
+
+
+def test_a_chunk_of_letters_is_one_pre_token(monkeypatch):
+    for name, spaces in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        encode = Encoder(public_tokenizers.path(name), spaces)
+        assert encode(["Straße naïve plain words plain"]) == encode.whole(["Straße naïve plain words plain"])
+        assert not encode.words  # nothing was split, nor kept twice
+        assert encode(["plain, it's 12"]) == encode.whole(["plain, it's 12"]) and encode.words

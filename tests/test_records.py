@@ -1,4 +1,5 @@
 import json
+import pathlib
 
 import pytest
 from pyspark.errors import SparkRuntimeException
@@ -246,3 +247,15 @@ def test_stream_over_a_table_in_many_files(spark, tmp_path):
     got = {r["id"]: r["reason"] for r in records.stream_validate(spark, folder).collect()}
     want = {r["id"]: r["reason"] for r in records.stream_validate(spark, "/root/testdata/sf0.001").collect()}
     assert got == want and len(got) == docs.count()
+
+
+def test_json_objects_write_their_lists_once_and_packed(spark, tmp_path, monkeypatch):
+    from catalog import records
+
+    folders = []
+    monkeypatch.setattr(records, "new_folder", lambda _, purpose: folders.append(f"{tmp_path}/{purpose}") or folders[-1])
+    spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("ক \"x\"\n" * 200), F.col("id")).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"]: r["user_text"] for r in records.json_objects(spark, str(tmp_path)).collect()}
+    assert got == {k: "ক \"x\"\n" * 200 + str(k) for k in range(200)}
+    files = [f for folder in folders for f in pathlib.Path(folder).rglob("part-*")]
+    assert len(folders) == 1 and len(files) == 4 and sum(f.stat().st_size for f in files) < 100_000

@@ -1,5 +1,6 @@
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,11 @@ def test_chat_rendering(spark):
     assert df.select(t.render_chat("m", "[{role}] {content};").alias("x")).first()["x"] == "[user] q;[assistant] ;"
     with pytest.raises(ValueError):
         t.numerals(F.col("m"), "roman")
+
+
+def test_nfkc_takes_a_few_texts_at_a_time(monkeypatch):
+    most = []
+    monkeypatch.setattr(t, "NFKC_ROWS", 3)
+    monkeypatch.setattr(t.unicodedata, "normalize", lambda form, x, normalize=t.unicodedata.normalize: most.append(x) or normalize(form, x))
+    assert t._nfkc.func(pa.array(["ﬁ", None, "①", "é"])).to_pylist() == ["fi", None, "1", "é"]
+    assert most == ["ﬁ", "①", "é"] and t._nfkc.func(pa.array([], pa.string())).to_pylist() == []

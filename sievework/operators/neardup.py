@@ -229,11 +229,11 @@ def _form(values: Column) -> Column:
     return F.concat_ws("-", F.xxhash64(values), F.xxhash64(F.lit(1), values))
 
 
-def _first_of_equals(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+def _first_of_equals(rows: DataFrame, by: Sequence[str], *values: str) -> DataFrame:
     """Adds ``_first``, the least id of the rows equal in bucket and form; a form that many rows have is met where they lie."""
     keys = [*by, "_form"]
     firsts = rows.groupBy(*keys).agg(F.min("id").alias("_first"), F.count("*").alias("_n"))
-    return checkpointed(join_groups(rows, firsts, keys, "_n", rows.count()).select("id", "_first", *by, value))
+    return checkpointed(join_groups(rows, firsts, keys, "_n", rows.count()).select("id", "_first", *by, *values))
 
 
 def dedup_by_vector(
@@ -269,70 +269,57 @@ def prefix_length(size: Column, threshold: float) -> Column:
     return (size - F.ceil(F.round(size * F.lit(threshold), 9)) + 1).cast("int")
 
 
+def token_set(text: Column | str, kind: str = "bn") -> Column:
+    """The different tokens of a text, each by its 64-bit hash."""
+    return F.sort_array(F.array_distinct(F.transform(tokens(text, kind), lambda w: F.xxhash64(w))))
+
+
 def dedup_by_tokens(
     df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn", block_rows: int = BLOCK_ROWS, listed: int = LISTED,
-    meetings: int = 8,
 ) -> DataFrame:
-    """Keep-first by Jaccard of token sets inside buckets ``by``.
+    """Keep-first by Jaccard of token sets inside buckets ``by``."""
+    return dedup_by_sets(df.select(id, *by, token_set(text, kind).alias("_set")), id, "_set", by, threshold, block_rows, listed)
+
+
+def dedup_by_sets(
+    df: DataFrame, id: str, tokens: str, by: Sequence[str], threshold: float = 0.88, block_rows: int = BLOCK_ROWS, listed: int = LISTED,
+) -> DataFrame:
+    """Keep-first by Jaccard of the sets that ``token_set`` gives, inside buckets ``by``.
 
     Of two sets similar beyond the threshold the larger has fewer than ``1 / t`` times the tokens of the smaller,
-    so it lies in the size band of the smaller or in the next, and a set goes to its own band and the next. Where a set would
-    meet more than ``meetings`` blocks there, sets meet only in the buckets of their rarest tokens within the bands, if that
-    is less work. Either way no pair above the threshold is lost. Blocks are counted by rows and by tokens, and a bucket of one set is no bucket.
+    so it lies in the size band of the smaller or in the next, and a set goes to its own band and the next: to two places, whatever
+    its size. Blocks are counted by rows and by tokens; a band of one set, or of sets of the band before alone, is no bucket. First
+    sets and bands are told by narrow rows, and the sets of those that meet others follow by a join on the row.
     """
-    words = F.sort_array(F.array_distinct(tokens(text, kind)))
     rows, by = _buckets(df, by)
-    rows = rows.select(F.col(id).cast("long").alias("id"), *by, words.alias("words"))
-    rows = rows.withColumn("_form", F.when(F.size("words") > 0, _form(F.col("words"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit(""))))
-    copies = _first_of_equals(checkpointed(rows), by, "words")
+    rows = rows.select(F.col(id).cast("long").alias("id"), *by, F.col(tokens).alias("set"))
+    form = F.when(F.size("set") > 0, _form(F.col("set"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit("")))
+    rows = checkpointed(rows.select("id", *by, "set", F.size("set").alias("n"), form.alias("_form"), F.monotonically_increasing_id().alias("_row")))
+    copies = _first_of_equals(rows.drop("set"), by, "n", "_row")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int") if 0 < threshold < 1 else F.lit(0)
-    sets = checkpointed(copies.filter("id = _first and size(words) > 0").withColumn("n", F.size("words")).select(
-        "id", *by, "n", band.alias("size"), "words", F.transform("words", lambda w: F.xxhash64(w)).alias("set")))
-    total = sets.count()
-    bands = F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("band")
-    keys = [*by, "word", "band"]
-
-    def crowd(spots: DataFrame) -> DataFrame:
-        blocks = F.greatest(block_count(F.count("*"), block_rows), block_count(F.sum("n"), BLOCK_TOKENS))
-        return spots.groupBy(*keys).agg(F.count("*").alias("_n"), blocks.alias("_blocks")).filter("_n > 1")
-
-    def work(crowded: DataFrame) -> float:
-        return float(crowded.agg(F.sum(F.col("_n").cast("double") ** 2)).first()[0] or 0)
-
-    spots = sets.select("id", *by, "n", F.lit("").alias("word"), F.lit(0).alias("place"), bands)
-    crowded = crowd(spots)
-    if (direct := work(crowded)) > float(meetings) * block_rows * max(1, total):
-        rare = _rare_spots(sets, by, threshold).select("id", *by, "n", "word", "place", bands)
-        fewer = checkpointed(crowd(rare))
-        if work(fewer) < direct:
-            spots, crowded = rare, fewer
-    spots, crowded = checkpointed(spots), checkpointed(crowded)
-    placed_sets = checkpointed(join_groups(spots, crowded, keys, "_n", spots.count()).drop("_n"))
+    keys = [*by, "band"]
+    spots = copies.filter("id = _first and n > 0").select("_row", *by, "n", band.alias("size")).select(
+        "*", F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("band"))
+    blocks = F.greatest(block_count(F.count("*"), block_rows), block_count(F.sum("n"), BLOCK_TOKENS))
+    crowded = checkpointed(spots.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.count_if(F.col("size") == F.col("band")).alias("_own"), blocks.alias("_blocks")).filter("_n > 1 and _own > 0").drop("_own"))
+    places = join_groups(spots, crowded, keys, "_n", 2 * copies.count()).groupBy("_row").agg(
+        F.first("size").alias("size"), F.collect_list(F.struct("band", "_blocks")).alias("places"))
+    sets = checkpointed(rows.join(places, "_row").select("id", *by, "n", "size", "places", "set"))
 
     def similar(table: pa.Table) -> Callable:
         return TokenSets(table, "set", "n", "rest", threshold).similarities
 
     def run(flagged: DataFrame, some: bool) -> DataFrame:
-        placed = placed_sets.drop("n").join(flagged.select("id", "asks", "stands", "n", "size", "set"), "id")
-        rows = (_asked(placed, keys) if some else placed).select(
-            *keys, "_blocks", "id", "asks", "stands", "n", (F.col("size") == F.col("band")).alias("own"), (F.col("n") - F.col("place") - 1).alias("rest"), "set")
-        return Buckets(rows, crowded, keys, "_blocks", "id").run(each_cell(_neighbour_lists(similar, threshold, listed)), LIST_SCHEMA)
+        placed = flagged.select("*", F.explode("places").alias("_place")).select("*", "_place.*")
+        met = (_asked(placed, keys) if some else placed).select(
+            *keys, "_blocks", "id", "asks", "stands", "n", (F.col("size") == F.col("band")).alias("own"), (F.col("n") - 1).alias("rest"), "set")
+        return Buckets(met, crowded, keys, "_blocks", "id").run(each_cell(_neighbour_lists(similar, threshold, listed)), LIST_SCHEMA)
 
-    dropped = _greedy(_scanner(sets.drop("words"), run))
+    dropped = _greedy(_scanner(sets, run))
     return _with_copies(dropped, copies, F.lit(1.0))
 
 
-def _rare_spots(sets: DataFrame, by: Sequence[str], threshold: float) -> DataFrame:
-    """The rarest tokens of each set, as many as two sets beyond the threshold cannot both do without, with their places."""
-    spread = sets.select("id", *by, "n", "size", F.explode("words").alias("word"))
-    counts = spread.groupBy(*by, "word").agg(F.count("*").alias("df"))
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    ordered = join_groups(spread, counts, [*by, "word"], "df", total).groupBy("id", *by).agg(
-        F.first("n").alias("n"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("df", "word"))).alias("w"))
-    prefix = F.slice("w", F.lit(1), prefix_length(F.col("n"), threshold))
-    return ordered.select("id", *by, "n", "size", F.posexplode(prefix).alias("place", "x")).filter("x.df > 1").select("id", *by, "n", "size", "x.word", "place")
-
-
 def pair_text(user: Column, assistant: Column, width: int | None = None) -> Column:
     """What meaning-based deduplication compares: both whole texts, or their first ``width`` characters."""
     both = F.concat(user, F.lit(" \n "), assistant)

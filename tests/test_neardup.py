@@ -169,3 +169,22 @@ def test_blocks_are_written_once(spark):
     found = buckets.run(cells.each_cell(count), "g string, n long")
     assert {r["g"]: r["n"] for r in found.groupBy("g").agg(F.sum("n").alias("n")).collect()} == {"large": 199 * 100, None: 29 * 15}
     assert spark.read.parquet(buckets.large.folder).count() == 200
+
+
+def test_a_set_goes_to_two_places_whatever_its_size(spark, monkeypatch):
+    """Crowded bands of large sets: what is written for the pairs grows with the sets, not with their rare tokens."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "a", " ".join(f"w{t}" for t in rng.choice(20_000, 120 + i % 7, replace=False))) for i in range(150)]
+    rows += [(200 + i, "a", rows[i][2] + " w1000") for i in range(0, 150, 5)]
+    df = spark.createDataFrame(rows, "id long, block string, text string")
+    placed = []
+
+    class Counted(cells.Buckets):
+        def __init__(self, rows, *more):
+            placed.append(rows.count())
+            super().__init__(rows, *more)
+
+    monkeypatch.setattr(neardup, "Buckets", Counted)
+    got = verdicts(neardup.dedup_by_tokens(df, "id", "text", ["block"], 0.6, "word", 8))
+    assert got == walk([(i, b, t) for i, b, t in rows], jaccard, 0.6)
+    assert placed and max(placed) <= 2 * len(rows)

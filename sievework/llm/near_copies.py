@@ -7,7 +7,8 @@ less the expected chance collisions estimates the similarity, pairs within five
 threshold are verified on their full shingle sets. Where a band's texts are not in one component after that,
 those outside its largest component are compared with all its texts of other components, in cells of two
 blocks. A first pass sends only registers through the cells and finds the texts with a likely partner under another label; a
-second one sends the sets of these, and its cells return at most one link per part they join. So no link that joins components is lost
+second one sends the sets of these, and its cells return at most one link per part they join. Bands
+that a crowd meets in again and again under one first text are one there, so its texts are sent once and not once a band. So no link that joins components is lost
 within a band, and no group returns all its pairs. There are as many bands as it takes that a pair at the threshold shares
 none with a probability of at most 3e-7: 32 at 85 percent, 39 at 80.
 
@@ -42,6 +43,8 @@ DEVIATIONS = 5
 STAR_BLOCK = 128
 #: Texts of a cell: outside the largest component, and of the whole band.
 BLOCK, BAND_BLOCK = 1024, 1024
+#: Times these texts where only registers are sent.
+NARROW = 4
 WIDTH = 5
 #: Rows of a batch that are unpacked at once.
 RUN_ROWS = 256
@@ -233,10 +236,12 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size"), F.min("row").alias("node"),
         F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.first("keys").alias("keys")), "nodes")
 
-    bands = nodes.select("node", F.explode("keys").alias("key"))
-    buckets = bands.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    bands = nodes.select("node", F.col("n_shingles").alias("width"), F.explode("keys").alias("key"))
+    buckets = bands.groupBy("key").agg(F.min(F.struct("node", "width")).alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = landed(join_groups(bands, buckets, "key", "n", len(band_starts(percent)) * total), "members")
-    pairs = members.filter("node <> pivot").select("pivot", "node").distinct()
+    # a set shares at most the smaller size of two, so pairs of unlike sizes send no registers
+    alike = 100 * F.least("width", "pivot.width") >= percent * F.greatest("width", "pivot.width")
+    pairs = members.filter(alike & (F.col("node") != F.col("pivot.node"))).select(F.col("pivot.node").alias("pivot"), "node").distinct()
 
     share = percent / 100
     def by_estimate(first: tuple, others: list[tuple]) -> np.ndarray:
@@ -260,7 +265,7 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
     labels = landed(components(links), "labels")
     # only texts with a likely partner outside their component send their sets through the bands
     registers_ = nodes.select("node", "n_shingles", "registers")
-    open_ = landed(_open_cells(members.filter("n > 2").select("key", "node"), labels, registers_, ["n_shingles", "registers"], _cell_partners(percent), "key long, node long").distinct(), "open")
+    open_ = landed(_open_cells(landed(_crowds(members), "crowds"), labels, registers_, ["n_shingles", "registers"], _cell_partners(percent), "key long, node long", NARROW).distinct(), "open")
     more = landed(_open_cells(open_, labels, sets_of(open_.select("node").distinct()), ["n_shingles", "registers", "members"], _cell_links(percent), "u long, v long"), "links")
     if not more.isEmpty():
         labels = landed(components(links.unionByName(more)), "labels")
@@ -274,18 +279,26 @@ def near_copies(df: DataFrame, id: str = "doc_id", text: str = "text", percent:
     return judged.select(columns).unionByName(alone.select(columns)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _crowds(members: DataFrame) -> DataFrame:
+    """``key`` and ``node`` of the bands of more than two texts; those of one first text are one band if that halves their rows."""
+    met = members.filter("n > 2").groupBy(F.col("pivot.node").alias("pivot"), "node").agg(F.collect_list("key").alias("keys"))
+    first = met.groupBy("pivot").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.size("keys")).alias("rows"))
+    bands = F.when(F.col("rows") >= 2 * F.col("texts"), F.array("pivot")).otherwise(F.col("keys"))
+    return join_groups(met, first, "pivot", "texts", members.count()).select(F.explode(bands).alias("key"), "node")
+
+
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
 
 
-def _open_cells(members: DataFrame, labels: DataFrame, payload: DataFrame, columns: list[str], task: Callable, schema: str) -> DataFrame:
+def _open_cells(members: DataFrame, labels: DataFrame, payload: DataFrame, columns: list[str], task: Callable, schema: str, times: int = 1) -> DataFrame:
     """``task`` over the cells of bands of several components, each text outside a band's largest component against all of the band."""
     known = landed(_labelled(members, labels), "open")
     sizes = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("all"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("rows"), F.sum("all").alias("all")).filter("top.n < rows")
     once = mixed.groupBy("all", "rows").agg(F.min(F.struct("key", "top")).alias("one")).select(  # bands of the same texts count once
         F.col("one.key").alias("key"), F.col("one.top.label").alias("top"), "rows",
-        F.ceil((F.col("rows") - F.col("one.top.n")) / F.lit(BLOCK)).cast("int").alias("blocks"), F.ceil(F.col("rows") / F.lit(BAND_BLOCK)).cast("int").alias("bands"))
+        F.ceil((F.col("rows") - F.col("one.top.n")) / F.lit(times * BLOCK)).cast("int").alias("blocks"), F.ceil(F.col("rows") / F.lit(times * BAND_BLOCK)).cast("int").alias("bands"))
     rows = join_groups(known, once, "key", "rows", members.count())
     here = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))

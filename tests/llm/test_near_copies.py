@@ -84,3 +84,28 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(20)] + [(100, k) for k in range(101, 140)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 140), 100)}
+
+
+def test_bands_of_one_first_text_are_one(spark):
+    """A crowd that meets in many bands goes into cells once for its first text; bands that share little stay apart."""
+    crowd = [(key, node, (0, 9), 30) for key in range(100, 110) for node in range(30) if node == 0 or (node + key) % 10]
+    apart = [(key, node, (40, 9), 4) for key in (200, 201) for node in (40, key, key + 10, key + 20)]
+    members = spark.createDataFrame(crowd + apart + [(300, 50, (50, 9), 2), (300, 51, (50, 9), 2)], "key long, node long, pivot struct<node:long,width:long>, n long")
+    got = sorted(map(tuple, module._crowds(members).collect()))
+    assert got == sorted([(0, n) for n in range(30)] + [(k, n) for k, n, *_ in apart])
+
+
+def test_a_crowd_of_texts_that_are_not_near_enough(spark):
+    """Texts that share bands but no link, and a few copies among them: the same classes, whatever is sent."""
+    rng = random.Random(4)
+    words = sentence(rng, 200).split()
+    rows = []
+    for i in range(60):
+        own = list(words)
+        for k in rng.sample(range(len(own)), 7):
+            own[k] = f"x{rng.randint(0, 10_000)}"
+        rows.append((i, " ".join(own)))
+    rows += [(100 + i, rows[i][1] + f" tail{i}") for i in range(0, 60, 4)]
+    rows += [(200 + i, rows[i][1] + " and more words of another kind" * 30) for i in range(0, 60, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_copies(df, percent=80).collect()), key=repr) == slow(rows, 80)

@@ -124,3 +124,12 @@ def test_kmeans_costs_no_more_than_the_library_and_few_passes(spark, monkeypatch
         assert cost <= 1.05 * library
         got = {r["id"]: (r["cluster"], r["away"]) for r in cluster.kmeans_clusters(df, "id", "v", {k: (cost, centres)}).collect()}
         assert all(got[i][0] == gaps[i].argmin() and got[i][1] == pytest.approx(np.sqrt(gaps[i].min())) for i in range(600))
+
+
+def test_mean_cosine_takes_texts_apart_once_more(spark):
+    """Beside the vocabulary, which is written, the terms are made once, and only known ones are counted in a text."""
+    df = spark.createDataFrame([(i, f"a b{i % 3} c") for i in range(30)], "id long, text string")
+    found = tfidf.tfidf_mean_cosine(tfidf.tfidf(df, "text", "id"))
+    got, plan = found.first(), found._jdf.queryExecution().optimizedPlan().toString()
+    assert got["n_pairs"] == 435 and 0 < got["mean"] < 1
+    assert plan.count("Generate ") == 3  # places of words, terms of a place, cells of a row

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import documents_of, landed, shared, sliced
 from .files import create, opened
-from .tokens import Encoder
+from .tokens import worker_encoder
 
 MAGIC = b"PFORTOK1"
 BLOCK = 1024
@@ -40,6 +40,8 @@ PERCENTILES = (0.9, 0.95, 0.98, 0.99, 1.0)
 HEAD = np.dtype([("minimum", "<u4"), ("n", "<u2"), ("width", "u1"), ("_", "u1"), ("exceptions", "<u2"), ("__", "<u2")])
 #: Blocks decoded at once.
 STRIDE = 1024
+#: Chunks of text that a worker's tasks keep with their ids.
+KEPT = 1_000_000
 
 
 def pack_bits(low: np.ndarray, width: int) -> np.ndarray:
@@ -200,7 +202,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end: int, folder: str, id: str =
     docs = documents_of(df.withColumn(id, df[id].cast("long")), id, text).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, tail, writer = Encoder(tokenizer, True), end.to_bytes(4, "little"), None
+        encode, tail, writer = worker_encoder(tokenizer, True, KEPT, folder), end.to_bytes(4, "little"), None
         part = TaskContext.get().partitionId()
         for batch in sliced(batches):
             if writer is None:

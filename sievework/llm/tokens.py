@@ -2,9 +2,9 @@
 
 White space bounds pre-tokens, and most words of a corpus come again. So a text is cut at spaces, a chunk
 met before takes its ids from memory, and a new one is split into pre-tokens that the library's model
-encodes. The cut is taken only for texts where it cannot change a pre-token (plain and accented Latin
-letters, ASCII, common punctuation, no doubled or trailing space, no special token's string); any other
-text is given to the library whole.
+encodes; a word before marks or a line break shares the memory of the word alone. The cut is taken only
+for texts where it cannot change a pre-token (plain and accented Latin letters, ASCII, common punctuation,
+no doubled or trailing space, no special token's string); any other text is given to the library whole.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from functools import lru_cache
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ſ"
 _MARKS = "!-/:-@\\[-`{-~¡-©«¬®-±´¶-¸»¿×÷‐-‧"
@@ -20,7 +21,8 @@ _PLAIN = re.compile(f"[{_LETTERS}0-9{_MARKS} \\t\\n\\r]*")
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _BYTE_LEVEL = re.compile(rf"{_CONTRACTIONS}| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
 _WORD_END = re.compile(rf"{_CONTRACTIONS}|[{_LETTERS}]+|[0-9]|[^\s0-9{_LETTERS}]+")
-#: Chunks, and words, kept between slices; beyond that, or beyond 32 bytes of text for each, the memory is emptied.
+_ENDED = re.compile(rf"([{_LETTERS}]+)([^\s0-9{_LETTERS}]+)")  # a word and the marks after it
+#: Chunks, and words, kept between slices: half of them, or 32 bytes of text for each, are one of two generations.
 KEPT = 400_000
 
 
@@ -31,15 +33,27 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class _Memory(dict):
-    """Chunks and their ids; a new chunk is encoded when it is first looked up."""
+    """Chunks and their ids; a new chunk is encoded when it is first looked up.
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.encode = encode
+    Beyond half of ``kept`` a new generation begins; what is not met again during it is forgotten.
+    """
+
+    def __init__(self, encode: Callable[[str], bytes], kept: int):
+        self.encode, self.half, self.older, self.held = encode, kept // 2, {}, 0
 
     def __missing__(self, chunk: str) -> bytes:
-        out = self[chunk] = self.encode(chunk)
+        out = self.older.get(chunk)
+        if out is None:
+            out = self.encode(chunk)
+        self[chunk] = out
+        self.held += len(chunk)
         return out
 
+    def age(self) -> None:
+        if len(self) > self.half or self.held > 32 * self.half:
+            self.older, self.held = dict(self), 0
+            self.clear()
+
 
 class Encoder:
     """Encodes lists of texts to bytes of little-endian unsigned 32-bit ids.
@@ -53,13 +67,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.spaces = spaces
         self.letters = {b: ord(c) for b, c in byte_alphabet().items()}
-        self.words = _Memory(self._word)
+        self.words = _Memory(self._word, kept)
         # with ``spaces`` a text's first chunk has no space before it, the others have
-        self.firsts = _Memory(self._chunk)
-        self.chunks = _Memory(lambda c: self._chunk(" " + c)) if spaces else self.firsts
-        self.held, self.kept = 0, kept
+        self.firsts = _Memory(self._chunk, kept)
+        self.chunks = _Memory(lambda c: self._chunk(c, " "), kept) if spaces else self.firsts
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """The library's ids of whole texts."""
@@ -67,23 +81,26 @@ class Encoder:
 
     def _word(self, word: str) -> bytes:
         """The model's ids of one pre-token."""
-        tokens = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        self.held += len(word)
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
         return array("I", [t.id for t in tokens]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        if not self.spaces:
-            chunk = chunk.lower()
-        if chunk[chunk[:1] == " ":].isalpha():  # a chunk of letters is one pre-token
-            return self._word(chunk)
-        self.held += len(chunk)
-        return b"".join([self.words[w] for w in (_BYTE_LEVEL if self.spaces else _WORD_END).findall(chunk)])
+    def _chunk(self, chunk: str, before: str = "") -> bytes:
+        if not self.spaces and chunk != (small := chunk.lower()):
+            return self.firsts[small]
+        if chunk.isalpha():  # a chunk of letters is one pre-token
+            return self._word(before + chunk)
+        same = self.chunks if before else self.firsts
+        if ended := _ENDED.fullmatch(chunk):
+            return same[ended[1]] + self.words[ended[2]]
+        lines = chunk.split("\n")
+        if len(lines) == 2 and lines[0] and lines[1] and "\t" not in chunk and "\r" not in chunk:
+            # white space of one character before a word is a pre-token, what follows stands as at a text's start
+            return same[lines[0]] + self.words["\n"] + self.firsts[lines[1]]
+        return b"".join([self.words[w] for w in (_BYTE_LEVEL if self.spaces else _WORD_END).findall(before + chunk)])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if max(len(self.chunks), len(self.firsts), len(self.words)) > self.kept or self.held > 32 * self.kept:
-            for memory in (self.chunks, self.firsts, self.words):
-                memory.clear()
-            self.held = 0
+        for memory in (self.words, self.firsts, self.chunks):
+            memory.age()
         ids, first, out, odd = self.chunks.__getitem__, self.firsts.__getitem__, [b""] * len(texts), []
         for k, text in enumerate(texts):
             if "<|" in text or not _PLAIN.fullmatch(text) or self.spaces and ("  " in text or text[-1:] == " "):
@@ -96,3 +113,9 @@ class Encoder:
         for k, found in zip(odd, self.whole([texts[k] for k in odd])):
             out[k] = found
         return out
+
+
+@lru_cache(1)
+def worker_encoder(path: str, spaces: bool, kept: int, job: str) -> Encoder:
+    """The encoder that the tasks of one job share in a Python worker; another job begins with an empty memory."""
+    return Encoder(path, spaces, kept)

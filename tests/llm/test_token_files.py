@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from sievework.llm.token_files import BLOCK, Reader, Writer, decode_blocks, encode_blocks, token_files, write_tokens
 from sievework.llm.files import opened
-from sievework.llm.tokens import Encoder
+from sievework.llm.tokens import Encoder, worker_encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,3 +76,33 @@ def test_a_chunk_of_letters_is_one_pre_token(monkeypatch):
         assert encode(["Straße naïve plain words plain"]) == encode.whole(["Straße naïve plain words plain"])
         assert not encode.words  # nothing was split, nor kept twice
         assert encode(["plain, it's 12"]) == encode.whole(["plain, it's 12"]) and encode.words
+
+
+def test_a_word_before_marks_or_a_line_break_is_encoded_once(monkeypatch):
+    texts = ["x plain plain, plain.\nplain plain!! plain\nplain, plain", "plain.\nx", "a,\n b", "a\tb.\nc d", "a.\r\nb a,'s 'll, a\n\nb", "é,\né.\n", "Plain, PLAIN"]
+    for name, spaces in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        word, seen = Encoder._word, []
+        monkeypatch.setattr(Encoder, "_word", lambda self, w: seen.append(w) or word(self, w))
+        encode = Encoder(public_tokenizers.path(name), spaces)
+        assert encode(texts[:1]) == encode.whole(texts[:1])
+        assert sorted(w for w in seen if "plain" in w) == ([" plain", "plain"] if spaces else ["plain"])
+        monkeypatch.undo()
+        assert encode(texts) == encode.whole(texts) == encode(texts)
+
+
+def test_what_is_met_again_outlives_a_generation():
+    encode, seen = Encoder(PATH, True, 20), []
+    word = encode._word
+    encode._word = lambda w: seen.append(w) or word(w)
+    for k in range(0, 520, 13):
+        new = " ".join(chr(97 + j % 26) * (2 + j // 26) for j in range(k, k + 13))
+        assert encode([f"x often {new}"]) == encode.whole([f"x often {new}"])
+        assert len(encode.chunks) <= 10 + 14 and len(encode.chunks.older) <= 10 + 14
+    assert seen.count(" often") == 1 and len(seen) == 522
+
+
+def test_the_tasks_of_a_job_share_an_encoder_in_a_worker():
+    first = worker_encoder(PATH, True, 100, "job")
+    first(["a word"])
+    assert worker_encoder(PATH, True, 100, "job") is first and first.chunks
+    assert not worker_encoder(PATH, True, 100, "another").chunks

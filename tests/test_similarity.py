@@ -1,10 +1,12 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from sievework.operators import cluster, similarity, tfidf
+from sievework.operators import cells, cluster, similarity, tfidf
 
 
 def unit(n, d, seed):
@@ -67,6 +69,58 @@ def test_tfidf_with_empty_texts_and_a_small_vocabulary(spark):
         assert tfidf.tfidf_mean_cosine(tfidf.tfidf(df, "text", "id", most=most)).first()["mean"] == pytest.approx(s.mean(), abs=1e-9)
 
 
+def sparse_table(rows, low, high):
+    return pa.table({
+        "p": pa.array([sorted(x) for x in rows], pa.list_(pa.int32())), "w": pa.array([[x[k] for k in sorted(x)] for x in rows], pa.list_(pa.float64())),
+        "_low": pa.array(low), "_high": pa.array(high)})
+
+
+@pytest.mark.parametrize("terms", [30, 400, 200_000])
+def test_sparse_products_equal_the_full_matrix(terms):
+    rng = np.random.default_rng(terms)
+    rows = [{int(t): float(rng.random()) for t in np.minimum(rng.zipf(1.3, 25), terms) - 1} for _ in range(150)]
+    rows[4] = rows[120] = {}
+    m = np.zeros((150, terms))
+    for i, x in enumerate(rows):
+        m[i, list(x)] = list(x.values())
+    side = np.arange(150) < 70
+    found = list(cells.sparse_products(sparse_table(rows, side, ~side), "p", "w"))
+    assert all(counts is None for _, _, counts in found) and np.allclose(np.concatenate([v for _, v, _ in found]), m[:70] @ m[70:].T, atol=1e-12)
+    (_, values, counts), = cells.sparse_products(sparse_table(rows, [True] * 150, [True] * 150), "p", "w")
+    assert np.allclose(values, m @ m.T, atol=1e-12) and counts.sum() == 150 * 149 // 2
+
+
+def test_pair_stats_take_no_columns_for_rare_terms(spark):
+    """Of 40,000 terms that few rows share, no cell makes a dense matrix."""
+    rng = np.random.default_rng(7)
+    rows = [{int(t): 0.2 for t in rng.choice(40_000, 25, replace=False)} for _ in range(1_200)]
+    m = np.zeros((1_200, 40_000), np.float32)
+    for i, x in enumerate(rows):
+        m[i, list(x)] = 0.2
+    df = spark.createDataFrame([(i, sorted(x), [x[k] for k in sorted(x)]) for i, x in enumerate(rows)], "id long, p array<int>, w array<double>")
+    s = (m @ m.T)[np.triu_indices(1_200, 1)]
+    got = similarity.pair_stats(df, "id", "p", weights="w").first()
+    assert got["mean"] == pytest.approx(float(s.mean()), abs=1e-6) and got["max"] == pytest.approx(float(s.max()), abs=1e-6)
+    table = sparse_table(rows, [True] * 1_200, [True] * 1_200)
+    tracemalloc.start()
+    for _ in similarity._products(table, "p", "w"):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20  # 1,200 x 25,000 columns would be 240 MB
+
+
+def test_a_task_adds_its_cells_up(spark):
+    """Cells of a bucket leave their task as one row, and buckets beyond the most that are held leave early."""
+    rows = spark.range(400).selectExpr("id", "id % 5 as g").withColumn("_blocks", similarity.F.lit(8))
+    groups = spark.range(5).selectExpr("id as g", "8 as _blocks")
+    work = cells.Totals(["g"], lambda t: [0, 0], lambda s, t: s.__setitem__(slice(None), [s[0] + 1, s[1] + t.num_rows]),
+                        lambda s, g: iter([pa.RecordBatch.from_arrays([pa.array([g[0].as_py()], pa.int64()), pa.array([s[0]]), pa.array([s[1]])], names=["g", "cells", "rows"])]), 2)
+    found = cells.Buckets(rows, groups, ["g"], "_blocks", "id").run(work, "g long, cells long, rows long").collect()
+    total = {g: (sum(r["cells"] for r in found if r["g"] == g), sum(r["rows"] for r in found if r["g"] == g)) for g in range(5)}
+    assert total == {g: (36, 80 * 8) for g in range(5)} and len(found) < 5 * 36
+
+
 def test_kmeans_report_and_plane(spark):
     rng = np.random.default_rng(0)
     v = np.concatenate([rng.normal(c, 0.01, size=(15, 3)) for c in (0, 5, 10)])

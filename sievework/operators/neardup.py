@@ -30,32 +30,27 @@ from .grouping import join_groups
 from .regions import CENTRES, ROWS_A_CENTRE, regions
 
 LISTED = 8
-#: Tokens of one block of sets.
-BLOCK_TOKENS = 4_000_000
+#: Tokens of one block of sets, and its rows at thresholds at which few pairs share a rare token (``TokenSets.near``).
+BLOCK_TOKENS, SET_ROWS, FEW_ABOVE = 2_000_000, 8192, 0.7
 #: Edges of one range of ids, walked by one task.
 RANGE_EDGES = 1_000_000
 LIST_SCHEMA = "id long, other long, sim double, cut boolean"
 
 
-def _neighbour_lists(similar: Callable, threshold: float, listed: int) -> Callable:
-    """Cell work: up to ``listed`` smallest earlier ids above the threshold."""
+def _neighbour_lists(similar: Callable, listed: int) -> Callable:
+    """Cell work: up to ``listed`` smallest earlier ids above the threshold; ``similar`` of a cell gives the similar pairs of two lists of its rows."""
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         low, high, same = sides(table)
         if len(low) == 0 or len(high) == 0:
             return
         ids = table["id"].to_numpy()
         asks, stands = table["asks"].to_numpy(), table["stands"].to_numpy()
-        score = similar(table)
+        near = similar(table)
         later, earlier, values = [], [], []
         # guests of a bucket have met each other in their own one
         own = table["own"].to_numpy() if "own" in table.column_names else np.ones(table.num_rows, bool)
-        strip = max(1, 1_000_000 // len(high))
         for side, against in ((low[own[low]], high), (low[~own[low]], high[own[high]])):
-            for start in range(0, len(side) if len(against) else 0, strip):
-                rows = side[start:start + strip]
-                sim = score(rows, against)
-                r, c = np.nonzero(sim > threshold)
-                a, b, s = rows[r], against[c], sim[r, c]
+            for a, b, s in near(side, against) if len(side) and len(against) else ():
                 if same:
                     once = ids[a] > ids[b]
                     a, b, s = a[once], b[once], s[once]
@@ -254,10 +249,19 @@ def dedup_by_vector(
 
     def similar(table: pa.Table) -> Callable:
         matrix = dense(table, "vector")
-        return lambda a, b: matrix[a] @ matrix[b].T
+
+        def near(side: np.ndarray, against: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            strip = max(1, 1_000_000 // len(against))
+            for start in range(0, len(side), strip):
+                rows = side[start:start + strip]
+                sim = matrix[rows] @ matrix[against].T
+                r, c = np.nonzero(sim > threshold)
+                yield rows[r], against[c], sim[r, c]
+
+        return near
 
     def run(flagged: DataFrame, some: bool) -> DataFrame:
-        return dealt.run(each_cell(_neighbour_lists(similar, threshold, listed)), LIST_SCHEMA, threshold, rows=flagged, asked=some)
+        return dealt.run(each_cell(_neighbour_lists(similar, listed)), LIST_SCHEMA, threshold, rows=flagged, asked=some)
 
     dropped = _greedy(_scanner(dealt.rows, run))
     return _with_copies(dropped, copies.withColumn("_size", size), F.col("_size"))
@@ -275,14 +279,14 @@ def token_set(text: Column | str, kind: str = "bn") -> Column:
 
 
 def dedup_by_tokens(
-    df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn", block_rows: int = BLOCK_ROWS, listed: int = LISTED,
+    df: DataFrame, id: str, text: str, by: Sequence[str], threshold: float = 0.88, kind: str = "bn", block_rows: int | None = None, listed: int = LISTED,
 ) -> DataFrame:
     """Keep-first by Jaccard of token sets inside buckets ``by``."""
     return dedup_by_sets(df.select(id, *by, token_set(text, kind).alias("_set")), id, "_set", by, threshold, block_rows, listed)
 
 
 def dedup_by_sets(
-    df: DataFrame, id: str, tokens: str, by: Sequence[str], threshold: float = 0.88, block_rows: int = BLOCK_ROWS, listed: int = LISTED,
+    df: DataFrame, id: str, tokens: str, by: Sequence[str], threshold: float = 0.88, block_rows: int | None = None, listed: int = LISTED,
 ) -> DataFrame:
     """Keep-first by Jaccard of the sets that ``token_set`` gives, inside buckets ``by``.
 
@@ -291,6 +295,7 @@ def dedup_by_sets(
     its size. Blocks are counted by rows and by tokens; a band of one set, or of sets of the band before alone, is no bucket. First
     sets and bands are told by narrow rows, and the sets of those that meet others follow by a join on the row.
     """
+    block_rows = block_rows or (SET_ROWS if threshold >= FEW_ABOVE else BLOCK_ROWS)
     rows, by = _buckets(df, by)
     rows = rows.select(F.col(id).cast("long").alias("id"), *by, F.col(tokens).alias("set"))
     form = F.when(F.size("set") > 0, _form(F.col("set"))).otherwise(F.coalesce(F.col("id").cast("string"), F.lit("")))
@@ -308,13 +313,13 @@ def dedup_by_sets(
     sets = checkpointed(rows.join(places, "_row").select("id", *by, "n", "size", "places", "set"))
 
     def similar(table: pa.Table) -> Callable:
-        return TokenSets(table, "set", "n", "rest", threshold).similarities
+        return TokenSets(table, "set", "n", "rest", threshold).near
 
     def run(flagged: DataFrame, some: bool) -> DataFrame:
         placed = flagged.select("*", F.explode("places").alias("_place")).select("*", "_place.*")
         met = (_asked(placed, keys) if some else placed).select(
             *keys, "_blocks", "id", "asks", "stands", "n", (F.col("size") == F.col("band")).alias("own"), (F.col("n") - 1).alias("rest"), "set")
-        return Buckets(met, crowded, keys, "_blocks", "id").run(each_cell(_neighbour_lists(similar, threshold, listed)), LIST_SCHEMA)
+        return Buckets(met, crowded, keys, "_blocks", "id").run(each_cell(_neighbour_lists(similar, listed)), LIST_SCHEMA)
 
     dropped = _greedy(_scanner(sets, run))
     return _with_copies(dropped, copies, F.lit(1.0))

@@ -188,3 +188,35 @@ def test_a_set_goes_to_two_places_whatever_its_size(spark, monkeypatch):
     got = verdicts(neardup.dedup_by_tokens(df, "id", "text", ["block"], 0.6, "word", 8))
     assert got == walk([(i, b, t) for i, b, t in rows], jaccard, 0.6)
     assert placed and max(placed) <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.3, 0.6, 0.88, 1.0])
+@pytest.mark.parametrize("few", [0.0, 1e9])
+def test_similar_pairs_of_a_cell_with_and_without_rare_tokens(monkeypatch, threshold, few):
+    monkeypatch.setattr(cells, "FEW_MEET", few)
+    rng = np.random.default_rng(4)
+    sets = [set(np.minimum(rng.zipf(1.3, int(n)), 900).tolist()) for n in rng.integers(1, 60, 240)]
+    for i in range(0, 200, 5):
+        sets[i + 1] = sets[i] ^ {1000 + i}
+    table = pa.table({"set": pa.array([sorted(x) for x in sets], pa.list_(pa.int64())), "n": [len(x) for x in sets], "rest": [len(x) - 1 for x in sets]})
+    token_sets = cells.TokenSets(table, "set", "n", "rest", threshold)
+    found = {}
+    for a, b, sim in token_sets.near(np.arange(0, 150), np.arange(90, 240)):
+        for i, j, s in zip(a.tolist(), b.tolist(), sim.tolist()):
+            assert (i, j) not in found
+            if i != j:  # a row of both sides
+                found[i, j] = s
+    of = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(150) for j in range(90, 240) if i != j}
+    assert found == pytest.approx({k: s for k, s in of.items() if s > threshold})
+
+
+def test_sets_without_a_common_rare_token_are_not_compared(monkeypatch):
+    """Sets of common tokens with a few of their own: at a high threshold no pair but the near copies is looked at."""
+    rng = np.random.default_rng(6)
+    sets = [[*range(40), *(100 + rng.choice(5_000_000, 20, replace=False))] for _ in range(600)]
+    sets[300] = [*sets[7][:-1], 90]
+    table = pa.table({"set": pa.array(sets, pa.list_(pa.int64())), "n": [60] * 600, "rest": [59] * 600})
+    token_sets = cells.TokenSets(table, "set", "n", "rest", 0.88)
+    monkeypatch.setattr(token_sets, "possible", lambda a, b: pytest.fail("all pairs are looked at"))
+    (a, b, sim), = [x for x in token_sets.near(np.arange(300), np.arange(300, 600)) if len(x[0])]
+    assert (a.tolist(), b.tolist()) == ([7], [300]) and sim[0] == pytest.approx(59 / 61)
